@@ -7,7 +7,7 @@ groups are a fixed small number of neighbouring keys, so their number grows with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -292,7 +292,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
-def _party_struct(p: str, buyer: bool = False, signer: bool = False) -> F.Column:
+def _party_struct(p: str, buyer: bool = False, signer: bool = False) -> Column:
     def c(field, path=p):
         return F.col(f"{path}_{field}")
 
@@ -307,7 +307,7 @@ def _party_struct(p: str, buyer: bool = False, signer: bool = False) -> F.Column
                    for x, n in (("name", "name"), ("email", "email"), ("phone", "telephone"))]).alias("signerInfo"))
 
 
-def _amount(c) -> F.Column:
+def _amount(c) -> Column:
     return F.struct(F.col(c).cast("double").alias("amount"))
 
 

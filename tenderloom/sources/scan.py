@@ -34,12 +34,12 @@ def scan_jsonl_strict_per_file(spark: SparkSession, path, schema: str) -> tuple[
 
 
 def scan_tagged_by_filename(spark: SparkSession, path, schema: str, labels) -> DataFrame:
-    """JSON lines of files named ``kved_<code>``; code and label come from the file name.
+    """JSON lines of files (or folders of part files) named ``kved_<code>.jsonl``.
 
-    The code may be written with "_" or "." between its parts.
+    Code and label come from that name; the code may have "_" or "." between its parts.
     """
     df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"kved_(.+?)\.jsonl", 1)
+    stem = F.regexp_extract(F.col("_metadata.file_path"), r"kved_([^/]+?)\.jsonl", 1)
     tagged = df.withColumn("activity_code", F.translate(stem, "_", "."))
     return label_dim(tagged, labels, "activity_code", "activity_label")
 
@@ -97,10 +97,10 @@ def scan_sheets(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
 
 
 def merge_page_parts(spark: SparkSession, root: str, schema: str = S.LISTING_COMPANY) -> DataFrame:
-    """Per-page parts ``page_<n>.csv`` as one table with their page number."""
-    df = spark.read.csv(f"{root}/page_*.csv", schema=schema, header=True)
-    return df.withColumn(
-        "page", F.regexp_extract(F.col("_metadata.file_path"), r"page_(\d+)\.csv", 1).cast("int"))
+    """Per-page parts (files or folders named ``page_<n>.csv``) as one table with their page number."""
+    df = spark.read.option("recursiveFileLookup", "true").csv(root, schema=schema, header=True)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"page_(\d+)\.csv", 1).try_cast("int")
+    return df.withColumn("page", number).filter("page is not null")
 
 
 def scan_tender_json(spark: SparkSession, path, schema: str = S.TENDER) -> DataFrame:
