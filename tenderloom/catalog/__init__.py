@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import text_queries  # noqa: F401
+from . import text_queries, filter_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from .. import rules as R
@@ -24,18 +26,29 @@ def ends_with_any(c, suffixes) -> Column:
     return test
 
 
-def email_ok(c, rule: R.EmailRule = R.EMAIL_STRICT) -> Column:
-    address = normalise(c)
-    domain = domain_of(address)
-    ok = address.rlike(f"(?U){rule.pattern}" if r"\s" in rule.pattern else rule.pattern)
+def rule_pattern(rule: R.EmailRule) -> str:
+    """A whole rule as one expression over the normalised address.
+
+    Length and blocklists become look-aheads, so the address is normalised and scanned once. No
+    blocked suffix holds "@": the end of the address is the end of its domain.
+    """
+    guards = ""
     if rule.length:
-        ok = ok & F.length(address).between(*rule.length)
+        guards += "(?=.{%d,%d}$)" % rule.length
     if rule.blocked_domains:
-        ok = ok & ~domain.isin(*rule.blocked_domains)
+        guards += f"(?!.*@(?:{_any_of(rule.blocked_domains)})$)"
     if rule.blocked_suffixes:
-        target = domain if rule.suffix_on == "domain" else address
-        ok = ok & ~ends_with_any(target, rule.blocked_suffixes)
-    return ok
+        guards += f"(?!.*(?:{_any_of(rule.blocked_suffixes)})$)"
+    flags = "(?sU)" if r"\s" in rule.pattern else "(?s)"
+    return f"{flags}^{guards}{rule.pattern.removeprefix('^')}" if rule.pattern.startswith("^") else f"{flags}{rule.pattern}"
+
+
+def _any_of(words) -> str:
+    return "|".join(re.escape(w) for w in words)
+
+
+def email_ok(c, rule: R.EmailRule = R.EMAIL_STRICT) -> Column:
+    return normalise(c).rlike(rule_pattern(rule))
 
 
 def valid_or_empty(c, rule: R.EmailRule = R.EMAIL_STRICT) -> Column:

@@ -14,19 +14,20 @@ def has(c) -> Column:
 
 
 def priority_school(email, phone, director, org_id) -> Column:
-    both = has(email) & has(phone)
-    return (F.when(both & (has(director) | has(org_id)), 1).when(both, 2)
-            .when(has(email), 3).otherwise(4))
+    """1 address, phone and a director or id; 2 address and phone; 3 address; 4 the rest."""
+    return (F.when(~has(email), 4).when(~has(phone), 3)
+            .when(has(director) | has(org_id), 1).otherwise(2))
 
 
 def priority_hei(email, phone, profile, targets=R.PROFILE_TARGETS) -> Column:
-    both = has(email) & has(phone)
-    return (F.when(both & contains_any(F.lower(null_to_empty(profile)), targets), 1).when(both, 2)
-            .when(has(email), 3).otherwise(4))
+    """1 address, phone and a target profile; 2 address and phone; 3 address; 4 the rest."""
+    return (F.when(~has(email), 4).when(~has(phone), 3)
+            .when(contains_any(F.lower(null_to_empty(profile)), targets), 1).otherwise(2))
 
 
 def priority_partner(email, phone, website) -> Column:
-    return (F.when(has(email) & has(phone), 1).when(has(email) | has(phone), 2)
+    """1 address and phone; 2 one of them; 3 a website; 4 nothing."""
+    return (F.when(has(email), F.when(has(phone), 1).otherwise(2)).when(has(phone), 2)
             .when(has(website), 3).otherwise(4))
 
 

@@ -165,8 +165,8 @@ def domain_status(df: DataFrame, email: str, statuses: DataFrame, rule: R.EmailR
     """Adds whether the domain of a valid address answers; unknown domains count as not."""
     known = statuses.groupBy("domain").agg(F.max("active").alias("active"))
     key = F.when(E.email_ok(email, rule), E.domain_of(E.normalise(email)))
-    joined = lookup_join(df, known, key, "domain", {"active": "_active"}, hot=hot)
-    return joined.withColumn(out, F.coalesce("_active", F.lit(False))).drop("_active")
+    joined = lookup_join(df, known, key, "domain", {"active": "_known"}, hot=hot)
+    return joined.withColumn(out, F.coalesce("_known", F.lit(False))).drop("_known")
 
 
 def first_valid_from_registry(registry: DataFrame, rule: R.EmailRule = R.EMAIL_SUFFIX_ONLY,

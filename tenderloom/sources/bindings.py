@@ -166,7 +166,7 @@ SELECT k AS doc, concat('t', ks) AS id,
        CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN 'атлас шкільний' WHEN 2 THEN concat('виріб ', c) ELSE NULL END AS i1_desc,
        CASE WHEN k % 13 = 0 THEN 'kgm' ELSE 'H87' END AS i1_unit,
        CASE k % 5 WHEN 0 THEN '22114200-4' WHEN 1 THEN '39162100-6' WHEN 2 THEN '' ELSE '30190000-7' END AS i1_code,
-       CASE WHEN k % 2 = 0 THEN 'друга позиція' ELSE '' END AS i2_desc, NULL AS i2_unit, '22114200-4' AS i2_code,
+       CASE WHEN k % 2 = 0 THEN 'друга позиція' ELSE '' END AS i2_desc, NULL AS i2_unit, CASE WHEN k % 4 = 3 THEN '22114200-4' ELSE '03000000-1' END AS i2_code,
        concat('поз. ', c) AS i3_desc, 'H87' AS i3_unit, CASE WHEN k % 3 = 0 THEN NULL ELSE '09130000-9' END AS i3_code,
        'четверта' AS i4_desc, 'H87' AS i4_unit, '03000000-1' AS i4_code,
        CASE k % 6 WHEN 0 THEN '22111000-1' WHEN 1 THEN '22114200-4' ELSE '39162100-6' END AS found_code,
