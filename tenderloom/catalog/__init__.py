@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import aggregate_queries, filter_queries, tender_queries, text_queries  # noqa: F401
+from . import aggregate_queries, filter_queries, join_queries, tender_queries, text_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

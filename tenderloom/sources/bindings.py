@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import scratch_dir
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -311,8 +313,34 @@ def _amount(c) -> Column:
     return F.struct(F.col(c).cast("double").alias("amount"))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A document table, written once per application to the shared scratch folder.
+
+    Documents are stored data in real use: the jobs that read them then open only the nested fields
+    they need, instead of carrying the building expressions of whole documents.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_dir(spark, name)
+        build(spark, sf_dir).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested tender documents built row by row from ``tender_base``."""
+    """Nested tender documents derived from ``tender_base``."""
+    return _stored(spark, sf_dir, "tenders", _build_tenders)
+
+
+def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested contract documents derived from ``tender_base``."""
+    return _stored(spark, sf_dir, "contracts", _build_contracts)
+
+
+def _build_tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = view(spark, sf_dir, "tender_base")
     items = [F.struct(
         F.col(f"i{n}_desc").alias("description"), F.struct(F.col(f"i{n}_unit").cast("string").alias("code")).alias("unit"),
@@ -333,7 +361,7 @@ def tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
                 entry("invalid", none, [s10, s01], "tenderers")).alias("bids"))
 
 
-def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _build_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = view(spark, sf_dir, "tender_base")
     suppliers = F.when(F.col("doc") % 17 == 0, F.array().cast(
         b.select(F.array(_party_struct("s00", signer=True)).alias("x")).schema["x"].dataType)).when(
