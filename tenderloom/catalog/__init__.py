@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from . import aggregate_queries, filter_queries, join_queries, tender_queries, text_queries  # noqa: F401
+from . import (  # noqa: F401
+    aggregate_queries, filter_queries, io_queries, join_queries, page_queries, tender_queries, text_queries,
+)
 from .registry import ORACLE, QUERIES  # noqa: F401

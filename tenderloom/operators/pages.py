@@ -60,7 +60,7 @@ def _class_fragment(html, tag: str, cls: str) -> Column:
 
 def _class_section(html, cls: str, marker: str) -> Column:
     """First block that starts at ``cls`` and mentions ``marker``, up to the next such block."""
-    blocks = F.slice(F.split(T.null_to_empty(html), r'<div\b[^>]*\bclass="(?:[^"]*\s)?znv-card-'), 2, 2**31 - 1)
+    blocks = F.split(T.null_to_empty(html), r'<div\b[^>]*\bclass="(?:[^"]*\s)?znv-card-')
     hit = F.filter(blocks, lambda b: b.startswith(cls) & b.contains(marker))
     body = F.regexp_replace(F.get(hit, F.lit(0)), r'(?s)^[^>]*>|</body>.*$|<footer\b.*$', "")
     return unescape(F.regexp_replace(T.null_to_empty(body), r"<[^>]*>", ""))

@@ -272,7 +272,7 @@ SELECT concat('https://school.test/', ck) AS url, short AS short_name, fullname
 FROM (SELECT c_custkey, cast(c_custkey AS string) AS ck, concat('Школа №', cast(c_custkey AS string)) AS short,
              concat('Загальноосвітня школа №', cast(c_custkey AS string)) AS fullname,
              concat('s', cast(c_custkey AS string), '@school.ua') AS mail,
-             concat('(044) ', lpad(cast(c_custkey AS string), 7, '5')) AS tel, concat('Прізвище ', c_name) AS boss FROM {customer}) AS c
+             concat('(044) ', lpad(cast(c_custkey AS string), 7, '5')) AS tel, concat('Прізвище ', c_mktsegment) AS boss FROM {customer}) AS c
 """
 
 VIEWS["classifier"] = """

@@ -52,6 +52,11 @@ def scan_csv_sep(spark: SparkSession, path, schema: str, sep: str = ";") -> Data
     return scan_csv(spark, path, schema, sep)
 
 
+def _file_path():
+    """The path of the file a row came from, with its URL escapes undone."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _headers(spark: SparkSession, root: str) -> list[tuple[str, list[str]]]:
     """Distinct header lines with their files, found in one distributed pass.
 
@@ -59,7 +64,7 @@ def _headers(spark: SparkSession, root: str) -> list[tuple[str, list[str]]]:
     """
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
     first = lines.filter(F.col("_metadata.file_block_start") == 0).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("n")
+        _file_path().alias("file"), "value", F.monotonically_increasing_id().alias("n")
     ).groupBy("file").agg(F.min_by("value", "n").alias("header"))
     return [(r.header, list(r.files)) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
 
@@ -80,7 +85,7 @@ def scan_csv_aliased(spark: SparkSession, root: str, aliases=S.CSV_ALIASES, labe
         schema = StructType()
         for i in range(len(names)):
             schema.add(f"c{i}", "string")
-        folder = F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+        folder = F.element_at(F.split(_file_path(), "/"), -2)
         parts.append(spark.read.csv(files, schema=schema, header=True).select(
             *[T.null_to_empty(f"c{i}").alias(out) if i is not None else F.lit("").alias(out) for out, i in picked.items()],
             F.concat(F.lit(f"{label} ("), folder, F.lit(")")).alias("source")))
