@@ -243,7 +243,10 @@ def _(spark, sf):
 SELECT 'kept' AS sheet, lead_id AS row_id, status, reason FROM kept UNION ALL SELECT 'excluded', lead_id, status, reason FROM gone""")
 def _(spark, sf):
     kept, gone, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)))
-    kept, gone = Q.partner_site_pass(kept, gone, _site_texts(spark, sf))
+    candidates = X.nonblank_candidates(kept, R.PARTNER_CHECK, "website").select("row_id", "website")
+    seen = J.lookup_join(candidates, _site_texts(spark, sf), F.col("website"), "website", {"summary": "summary"})
+    overlay = seen.select("row_id", C.partner_reclass("summary").alias("o")).filter("o is not null").select("row_id", "o.status", "o.reason")
+    kept, gone = J.apply_reclass(kept, gone, overlay)
     return S.sheets({"kept": kept.select("row_id", "status", "reason"), "excluded": gone.select("row_id", "status", "reason")})
 
 
@@ -252,7 +255,9 @@ SELECT 'cleaned' AS sheet, name, CASE WHEN verdict IS NULL THEN email ELSE '' EN
 UNION ALL SELECT 'rejects', name, email, verdict FROM kept JOIN failed USING (lead_id)""")
 def _(spark, sf):
     kept, _, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)))
-    cleaned, rejects = Q.partner_email_pass(kept, view(spark, sf, "domain_status"))
+    candidates = X.nonblank_candidates(kept, R.PARTNER_OK, "email").select("row_id", "email")
+    verdicts = X.email_reason(candidates, "email", view(spark, sf, "domain_status"))
+    cleaned, rejects = J.apply_invalid(kept, verdicts)
     return S.sheets({"cleaned": cleaned.select("name", "email", "reason"), "rejects": rejects})
 
 

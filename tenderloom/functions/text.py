@@ -126,12 +126,17 @@ def contains_all(c, words) -> Column:
 
 
 def matches(c, pattern: str) -> Column:
-    """Case-insensitive search, Unicode-aware; null counts as ""."""
-    return null_to_empty(c).rlike(f"(?iuU){pattern}")
+    """Case-insensitive search; null counts as "".
+
+    Text and pattern are both lower-cased, which is much cheaper than a Unicode-aware
+    case-insensitive match. The pattern must hold no class whose meaning depends on its case.
+    """
+    flags = "(?U)" if "\\b" in pattern else ""
+    return F.lower(null_to_empty(c)).rlike(flags + pattern.lower())
 
 
 def first_match(c, pattern: str) -> Column:
-    return F.regexp_extract(null_to_empty(c), f"(?iuU)({pattern})", 1)
+    return F.regexp_extract(null_to_empty(c), f"(?iu)({pattern})", 1)
 
 
 def alternation(patterns) -> str:
@@ -139,9 +144,14 @@ def alternation(patterns) -> str:
 
 
 def extract_emails(c, ignore=R.IGNORE_TOKENS, scope: str = "address") -> Column:
-    """All addresses, lower-cased, in text order, without those holding an ignored token."""
+    """All addresses, lower-cased, in text order, without those holding an ignored token.
+
+    Texts without "@" skip the scan: most texts have none.
+    """
+    text = null_to_empty(c)
     found = F.transform(
-        F.regexp_extract_all(null_to_empty(c), F.lit(R.EMAIL_BASE), F.lit(0)), F.lower)
+        F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(R.EMAIL_BASE), F.lit(0)))
+        .otherwise(F.array().cast("array<string>")), F.lower)
 
     def keep(e):
         part = F.substring_index(e, "@", -1) if scope == "domain" else e

@@ -76,7 +76,7 @@ def _usable(html, min_len: int, m: R.PageMarkers) -> Column:
         rf"""(?i)\bname\s*=\s*["'][^"']*({'|'.join(m.trap_inputs)})"""))
     hidden = F.regexp_count(T.col(html), F.lit(rf"""\bstyle\s*=\s*["'][^"']*(?:{m.hidden_style})"""))
     source = T.col(html).rlike(rf"""(?is)<(?:img|iframe|script)\b[^>]*\bsrc\s*=\s*["'][^"']*(?:{m.sources})""")
-    blocked = text.rlike(f"(?iu){words}") | text.rlike(cased) | trap | (hidden > m.max_hidden) | source
+    blocked = F.lower(text).rlike(words) | text.rlike(cased) | trap | (hidden > m.max_hidden) | source
     return (F.length(T.null_to_empty(html)) >= min_len) & ~blocked
 
 
@@ -204,8 +204,8 @@ def hei_page(pages: DataFrame, own_host: str = R.HEI_OWN_HOST, keywords=R.HEI_KE
     title = T.strip(F.regexp_replace(inner_text(heading), f"(?U){R.HEI_TITLE_TAIL}", ""))
     hidden = F.transform(
         F.regexp_extract_all("html", F.lit(r"""unescape\(['"]([^'"]+)['"]\)"""), F.lit(1)), T.percent_decode_email)
-    email = F.coalesce(
-        F.get(F.filter(hidden, lambda e: e != ""), F.lit(0)), F.regexp_extract("html", R.EMAIL_BASE, 0))
+    plain = F.when(F.col("html").contains("@"), F.regexp_extract("html", R.EMAIL_BASE, 0)).otherwise("")
+    email = F.coalesce(F.get(F.filter(hidden, lambda e: e != ""), F.lit(0)), plain)
     site = F.regexp_extract("html", R.HEI_WEBSITE, 0)
     text = F.col("_text")
     return pages.select(*keep, "html", page_text("html").alias("_text")).select(

@@ -8,7 +8,7 @@ from .. import rules as R
 from ..functions import classify as C, email as E, priority as P, text as T
 from ..operators import dedup as D, joins as J
 from ..operators.aggregates import status_breakdown, winner_totals
-from ..operators.filters import email_present, email_reason, nonblank_candidates, sheet_slices, split_by_priority
+from ..operators.filters import email_present, email_reason, email_status, sheet_slices, split_by_priority
 from ..operators.flatten import lead_projection
 from ..operators.sets import sort_leads, union_sources
 
@@ -43,20 +43,24 @@ def _deduped(portal: DataFrame, registry: DataFrame, labels, rule: R.EmailRule,
     return D.lead_dedup(both, ORDER)
 
 
-def school_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT):
-    """(leads with an address, leads without), portal records before registry ones."""
+def school_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT, store=None):
+    """(leads with an address, leads without), portal records before registry ones.
+
+    ``store`` (such as ``session.stored``) keeps the shared rows when both results are written.
+    """
     rows = _deduped(portal, registry, (R.SCHOOL_PORTAL, R.SCHOOL_REGISTRY), rule, False).withColumn(
         "priority", P.priority_school("email", "phone", "director", "org_id"))
-    main, rest = split_by_priority(rows)
+    main, rest = split_by_priority(store(rows) if store else rows)
     return sort_leads(main, ["priority", "name"], "pos"), sort_leads(rest, ["name"], "pos")
 
 
-def hei_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT):
+def hei_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT, store=None):
+    """As :func:`school_leads`, with the institution's profile and the offer made to it."""
     rows = _deduped(portal, registry, (R.HEI_PORTAL, R.HEI_REGISTRY), rule, True)
     rows = rows.withColumn("profile", C.profile_class("name", "profile_text")).drop("profile_text")
     rows = rows.withColumn("offer", F.lit(R.HEI_OFFER)).withColumn(
         "priority", P.priority_hei("email", "phone", "profile"))
-    main, rest = split_by_priority(rows)
+    main, rest = split_by_priority(store(rows) if store else rows)
     return sort_leads(main, ["priority", "name"], "pos"), sort_leads(rest, ["name"], "pos")
 
 
@@ -71,40 +75,57 @@ def partner_leads(raw: DataFrame, labels=R.PARTNER_CODES, order=("activity_code"
         T.null_to_empty("products").alias("products"), P.priority_partner("email", "phone", "website").alias("priority"))
 
 
-def partner_filtered(leads: DataFrame, rules: R.PartnerRules = R.PartnerRules()):
-    """(kept rows, excluded rows, breakdown) of the product-text check."""
-    rated = leads.withColumn("_c", C.partner_class("activity_code", "products", rules)).select(
+def partner_rated(leads: DataFrame, rules: R.PartnerRules = R.PartnerRules()) -> DataFrame:
+    """Adds ``status`` and ``reason`` of the product-text check."""
+    return leads.withColumn("_c", C.partner_class("activity_code", "products", rules)).select(
         *leads.columns, F.col("_c.status").alias("status"), F.col("_c.reason").alias("reason"))
+
+
+def partner_filtered(leads: DataFrame, rules: R.PartnerRules = R.PartnerRules(), store=None):
+    """(kept rows, excluded rows, breakdown) of the product-text check."""
+    rated = partner_rated(leads, rules)
+    rated = store(rated) if store else rated
     kept = rated.filter(F.col("status").isin(R.PARTNER_OK, R.PARTNER_CHECK))
     return kept, rated.filter(F.col("status") == R.PARTNER_REJECT), status_breakdown(rated)
 
 
-def partner_site_pass(kept: DataFrame, excluded: DataFrame, site_texts: DataFrame, rules: R.PartnerRules = R.PartnerRules()):
-    """Second look at undecided rows through their site's summary text (website, summary)."""
-    candidates = nonblank_candidates(kept, R.PARTNER_CHECK, "website").select("row_id", "website")
-    seen = J.lookup_join(candidates, site_texts, F.col("website"), "website", {"summary": "summary"})
-    overlay = seen.select("row_id", C.partner_reclass("summary", rules).alias("_o")).filter("_o is not null")
-    return J.apply_reclass(kept, excluded, overlay.select("row_id", "_o.status", "_o.reason"))
+def partner_site_pass(rated: DataFrame, site_texts: DataFrame, rules: R.PartnerRules = R.PartnerRules()) -> DataFrame:
+    """Second look at undecided rows through their site's summary text (website, summary).
+
+    The verdict depends only on the row and its site, so it is laid over the row where it stands
+    instead of being collected and joined back.
+    """
+    undecided = (F.col("status") == R.PARTNER_CHECK) & T.blank_to_null("website").isNotNull()
+    seen = J.lookup_join(rated, site_texts, F.when(undecided, F.col("website")), "website", {"summary": "_summary"})
+    fresh = C.partner_reclass("_summary", rules)
+    return seen.withColumn("_o", fresh).withColumns({
+        "status": F.coalesce("_o.status", "status"), "reason": F.coalesce("_o.reason", "reason")}).drop("_o", "_summary")
 
 
-def partner_email_pass(kept: DataFrame, statuses: DataFrame | None):
-    """Blanks addresses of relevant rows that fail validation; also returns the rejects."""
-    candidates = nonblank_candidates(kept, R.PARTNER_OK, "email").select("row_id", "email")
-    return J.apply_invalid(kept, email_reason(candidates, "email", statuses).select("row_id", "ok", "verdict"))
+def partner_email_pass(rated: DataFrame, statuses: DataFrame | None) -> DataFrame:
+    """Adds ``verdict`` (null for rows that are not candidates or whose address is good)."""
+    candidate = (F.col("status") == R.PARTNER_OK) & T.blank_to_null("email").isNotNull()
+    judged = email_reason(rated, "email", statuses)
+    return judged.withColumn("verdict", F.when(candidate & ~F.col("ok"), F.col("verdict"))).drop("ok")
 
 
 def partners(raw: DataFrame, site_texts: DataFrame, statuses: DataFrame, labels=R.PARTNER_CODES,
-             rules: R.PartnerRules = R.PartnerRules()) -> dict[str, DataFrame]:
-    """All passes: consolidate, check the text, check the site, validate addresses."""
-    kept, excluded, _ = partner_filtered(partner_leads(raw, labels), rules)
-    kept, excluded = partner_site_pass(kept, excluded, site_texts, rules)
-    cleaned, rejects = partner_email_pass(kept, statuses)
-    return {"partners": cleaned, "excluded": excluded, "invalid_emails": rejects}
+             rules: R.PartnerRules = R.PartnerRules(), store=None) -> dict[str, DataFrame]:
+    """All passes in one flow of rows: consolidate, check the text, check the site, validate addresses."""
+    rated = partner_rated(partner_leads(raw, labels), rules)
+    done = partner_email_pass(partner_site_pass(rated, site_texts, rules), statuses)
+    done = store(done) if store else done
+    kept, failed = F.col("status").isin(R.PARTNER_OK, R.PARTNER_CHECK), F.col("verdict").isNotNull()
+    return {
+        "partners": done.filter(kept).withColumns({
+            "email": F.when(failed, "").otherwise(F.col("email")),
+            "reason": F.coalesce("verdict", "reason")}).drop("verdict"),
+        "excluded": done.filter(~kept).drop("verdict"),
+        "invalid_emails": done.filter(kept & failed).select("name", "email", F.col("verdict").alias("reason")),
+    }
 
 
 def email_verification(leads: DataFrame, statuses: DataFrame, email: str = "email") -> DataFrame:
-    from ..operators.filters import email_status
-
     return email_status(leads, email, statuses)
 
 
@@ -117,7 +138,7 @@ def _outreach(df: DataFrame, email: str, role: str, category: str, label: Column
         F.lit(rank).alias("src_rank"), F.col(row_id).cast("string").alias("row_id"))
 
 
-def master_outreach(tenders: DataFrame, contracts: DataFrame, schools: DataFrame) -> dict[str, DataFrame]:
+def master_outreach(tenders: DataFrame, contracts: DataFrame, schools: DataFrame, store=None) -> dict[str, DataFrame]:
     """One row per address over tender buyers, contract buyers and schools, plus winner totals."""
     buyer = {"name": "buyer_name", "org_id": "buyer_id", "phone": "phone", "city": "city", "region": "region"}
     school = {"name": "name", "org_id": "org_id", "phone": "phone", "city": "city", "region": None}
@@ -130,6 +151,7 @@ def master_outreach(tenders: DataFrame, contracts: DataFrame, schools: DataFrame
         _outreach(schools, "email", R.ROLE_SCHOOL, R.CATEGORY_SCHOOL, label, school, F.col("source"), 3, "pos"),
     ])
     master = D.master_dedup(rows, "email", "priority_label", ["src_rank", "row_id"]).drop("src_rank", "row_id")
+    master = store(master) if store else master
     slices = sheet_slices(master, {
         "tender_buyers": ("category", R.SLICE_CATEGORY), "top_priority": ("priority_label", R.SLICE_PRIORITY)})
     winners = winner_totals(contracts, "supplier_name").withColumn("role", F.lit(R.ROLE_WINNER)).withColumn(

@@ -55,11 +55,12 @@ def coded_tenders(found: DataFrame, statuses: DataFrame, code_col: str, rules: R
     return sort_amount_desc(_with_domain_label(rows, statuses, R.EMAIL_PREFIX), "amount", "tender_id")
 
 
-def contracts(found: DataFrame, statuses: DataFrame) -> dict[str, DataFrame]:
+def contracts(found: DataFrame, statuses: DataFrame, store=None) -> dict[str, DataFrame]:
     """Signed contracts with buyer and winner, and the number of distinct parties."""
     cid = F.coalesce(T.empty_to_null("contractID"), T.empty_to_null("id"))
     unique = D.dedup_by_id_across_queries(found.withColumn("_cid", cid), "_cid", "query_rank", "pos")
     rows = _with_domain_label(contract_keep(X.contract_row(unique)), statuses, R.EMAIL_FULL)
+    rows = store(rows) if store else rows
     return {
         "contracts": sort_amount_desc(rows, "amount", "contract_id"),
         "parties": distinct_parties(rows, {"supplier_name": "winners", "buyer_name": "buyers"}),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs rely on: runtime re-planning, skew splitting even where it costs one more
 #: exchange, and a state store that is not bound by executor heap.
@@ -44,3 +44,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="tenderloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Writes ``df`` to the shared scratch folder and reads it back.
+
+    For a result that feeds several outputs: each of them then reads rows instead of repeating the
+    work, and a lost executor costs a re-read instead of a recomputed lineage.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
