@@ -30,19 +30,21 @@ def build_session(master: str | None = None, app: str = "tenderloom", **conf) ->
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local master may fall back to the machine's own temporary folder: on a cluster the
     executors would not see it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    global _local_root
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tenderloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = root = _local_root or tempfile.mkdtemp(prefix="tenderloom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
