@@ -8,6 +8,7 @@ from .. import rules as R
 from ..functions import classify as C, email as E, text as T
 from ..operators import aggregates as A, filters as X, joins as J, pages as G, sets as S
 from ..plans import erp as P, leads as Q, tenders as TP
+from ..session import stored
 from ..sources import bindings as B
 from .aggregate_queries import CONSOLIDATED, CONS_OUT, REGISTER, SUMMARY_SQL, consolidated
 from .filter_queries import CONTRACT_ROWS
@@ -235,14 +236,14 @@ def _(spark, sf):
 @query("partner_filtered", f"""{ctes('leads')}, {PARTNER_SQL}, {RATED_SQL} SELECT CASE WHEN status = {lit(R.PARTNER_REJECT)} THEN 'excluded' ELSE 'kept' END AS sheet,
 lead_id AS row_id, status, reason FROM rated""")
 def _(spark, sf):
-    kept, gone, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)))
+    kept, gone, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)), store=stored)
     return S.sheets({"kept": kept.select("row_id", "status", "reason"), "excluded": gone.select("row_id", "status", "reason")})
 
 
 @query("apply_reclass", f"""{ctes('leads', 'site_pages')}, {PARTNER_SQL}, {RATED_SQL}, {SITE_SQL}
 SELECT 'kept' AS sheet, lead_id AS row_id, status, reason FROM kept UNION ALL SELECT 'excluded', lead_id, status, reason FROM gone""")
 def _(spark, sf):
-    kept, gone, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)))
+    kept, gone, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)), store=stored)
     candidates = X.nonblank_candidates(kept, R.PARTNER_CHECK, "website").select("row_id", "website")
     seen = J.lookup_join(candidates, _site_texts(spark, sf), F.col("website"), "website", {"summary": "summary"})
     overlay = seen.select("row_id", C.partner_reclass("summary").alias("o")).filter("o is not null").select("row_id", "o.status", "o.reason")
@@ -254,7 +255,7 @@ def _(spark, sf):
 SELECT 'cleaned' AS sheet, name, CASE WHEN verdict IS NULL THEN email ELSE '' END AS email, coalesce(verdict, reason) AS reason FROM kept LEFT JOIN failed USING (lead_id)
 UNION ALL SELECT 'rejects', name, email, verdict FROM kept JOIN failed USING (lead_id)""")
 def _(spark, sf):
-    kept, _, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)))
+    kept, _, _ = Q.partner_filtered(Q.partner_leads(_partner_raw(spark, sf)), store=stored)
     candidates = X.nonblank_candidates(kept, R.PARTNER_OK, "email").select("row_id", "email")
     verdicts = X.email_reason(candidates, "email", view(spark, sf, "domain_status"))
     cleaned, rejects = J.apply_invalid(kept, verdicts)
@@ -265,7 +266,7 @@ def _(spark, sf):
 SELECT 'partners' AS sheet, name, CASE WHEN verdict IS NULL THEN email ELSE '' END AS email, coalesce(verdict, reason) AS reason FROM kept LEFT JOIN failed USING (lead_id)
 UNION ALL SELECT 'excluded', name, email, reason FROM gone UNION ALL SELECT 'invalid_emails', name, email, verdict FROM kept JOIN failed USING (lead_id)""")
 def _(spark, sf):
-    out = Q.partners(_partner_raw(spark, sf), _site_texts(spark, sf), view(spark, sf, "domain_status"))
+    out = Q.partners(_partner_raw(spark, sf), _site_texts(spark, sf), view(spark, sf, "domain_status"), store=stored)
     return S.sheets({n: df.select("name", "email", "reason") for n, df in out.items()})
 
 
@@ -309,12 +310,12 @@ _sheet = "CASE WHEN priority < 4 THEN 'P1-P3' ELSE 'P4' END AS sheet"
 
 @query("school_leads", f"{ctes('leads')}, {lead_job_sql(False)} SELECT {_sheet}, {LEAD_OUT} FROM job")
 def _(spark, sf):
-    return _lead_sheets(Q.school_leads(*_portal_registry(spark, sf)))
+    return _lead_sheets(Q.school_leads(*_portal_registry(spark, sf), store=stored))
 
 
 @query("hei_leads", f"{ctes('leads')}, {lead_job_sql(True)} SELECT {_sheet}, {LEAD_OUT}, profile, {lit(R.HEI_OFFER)} AS offer FROM job")
 def _(spark, sf):
-    return _lead_sheets(Q.hei_leads(*_portal_registry(spark, sf)), ("profile", "offer"))
+    return _lead_sheets(Q.hei_leads(*_portal_registry(spark, sf), store=stored), ("profile", "offer"))
 
 
 @query("email_verification", f"""{ctes('leads', 'domain_status')}, {KNOWN} SELECT lead_id, {s_text('name')} AS name, {s_status('email', 'active')} AS email_status,
@@ -342,9 +343,9 @@ FROM kept_c WHERE {s_strip('supplier_name')} NOT IN ('', 'nan') GROUP BY {s_stri
 def _(spark, sf):
     statuses = view(spark, sf, "domain_status")
     tenders = TP.target_tenders(B.tenders(spark, sf), statuses)
-    contracts = TP.contracts(B.contracts(spark, sf), statuses)["contracts"].withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    contracts = TP.contracts(B.contracts(spark, sf), statuses, store=stored)["contracts"].withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     schools = Q.school_leads(*_portal_registry(spark, sf))[0]
-    out = Q.master_outreach(tenders, contracts, schools)
+    out = Q.master_outreach(tenders, contracts, schools, store=stored)
     parts = {
         n: df.select("email", "name", "category", "priority_label", F.lit(0).cast("bigint").alias("contracts"), F.lit(0.0).alias("total"))
         for n, df in out.items() if n != "winners"}
@@ -375,7 +376,7 @@ def _(spark, sf):
 @query("erp_enrich", f"""{ctes('leads', 'lookup_source')}, {TIERED_SQL} SELECT 'contacts' AS sheet, lead_id, found_email, match_type, 0 AS total, 0 AS with_email FROM tiered
 UNION ALL SELECT 'summary', -1, '', '', count(*), count(*) FILTER (found_email <> '') FROM tiered""")
 def _(spark, sf):
-    out = P.erp_enrich(view(spark, sf, "leads"), view(spark, sf, "lookup_source"))
+    out = P.erp_enrich(view(spark, sf, "leads"), view(spark, sf, "lookup_source"), store=stored)
     return S.sheets({
         "contacts": out["contacts"].select("lead_id", "found_email", "match_type", F.lit(0).alias("total"), F.lit(0).alias("with_email")),
         "summary": out["summary"].select(F.lit(-1).alias("lead_id"), F.lit("").alias("found_email"), F.lit("").alias("match_type"), "total", "with_email")})
@@ -406,7 +407,7 @@ CASE WHEN contains(lower({s_text('bases')}), 'f') THEN 1 ELSE 0 END AS in_f, CAS
 SELECT 'base F' AS source_base, counterparty, email, phone, category, offer FROM done WHERE in_f = 1
 UNION ALL SELECT 'base O', counterparty, email, phone, category, offer FROM done WHERE in_o = 1""")
 def _(spark, sf):
-    clients = J.client_sales_left(view(spark, sf, "clients"), A.counterparty_summary(view(spark, sf, "sales")))
+    clients = stored(J.client_sales_left(view(spark, sf, "clients"), A.counterparty_summary(view(spark, sf, "sales"))), "clients")
     verified = view(spark, sf, "leads").withColumn("counterparty", F.col("name")).select("counterparty", "email", "phone", "src_rank", "pos")
     bases = {f"base {b}": (X.base_member(clients, "bases", b), verified) for b in ("F", "O")}
     master = P.erp_segment(bases, ["email", "phone"], ["src_rank", "pos"])["master"]

@@ -8,6 +8,7 @@ from .. import rules as R
 from ..functions import text as T
 from ..operators import flatten as L, joins as J, sets as S
 from ..plans import tenders as P
+from ..session import stored
 from ..sources import bindings as B
 from .filter_queries import CODED_SQL, CONTRACT_KEEP, CONTRACT_OUT, CONTRACT_ROWS, profile_sql, strict_sql
 from .registry import (
@@ -147,13 +148,13 @@ SELECT 'buyers' AS sheet, tender_id, buyer_id AS party_id, buyer_name AS party_n
 UNION ALL SELECT 'winners', tender_id, party_id, party_name, email, party_amount FROM winners WHERE tender_id IN (SELECT tender_id FROM accepted)
 UNION ALL SELECT 'bidders', tender_id, party_id, party_name, email, party_amount FROM bidders WHERE tender_id IN (SELECT tender_id FROM accepted)""")
 def _(spark, sf):
-    return _party_sheets(P.tender_parties_strict(P.tender_parties(B.tenders(spark, sf), ["doc"])))
+    return _party_sheets(P.tender_parties_strict(P.tender_parties(B.tenders(spark, sf), ["doc"]), store=stored))
 
 
 @query("tenders_semi", f"""{TB}, {WINNERS_SQL}, {BUYERS_SQL}, {STRICT}
 SELECT tender_id, party_id, party_name FROM winners WHERE tender_id IN (SELECT tender_id FROM accepted)""")
 def _(spark, sf):
-    tables = P.tender_parties_strict(P.tender_parties(B.tenders(spark, sf), ["doc"]))
+    tables = P.tender_parties_strict(P.tender_parties(B.tenders(spark, sf), ["doc"]), store=stored)
     return tables["winners"].select("tender_id", "party_id", "party_name")
 
 
@@ -191,7 +192,7 @@ CONTRACT_JOB = f"""uniq_c AS (SELECT * FROM rows_c {s_first('contract_id', 'quer
 SELECT 'contracts' AS sheet, contract_id, amount, supplier_name, buyer_name, email, {_label}, 0 AS winners, 0 AS buyers FROM kept_c {_join_full}
 UNION ALL SELECT 'parties', '', 0.0, '', '', '', '', count(DISTINCT supplier_name), count(DISTINCT buyer_name) FROM kept_c""")
 def _(spark, sf):
-    out = P.contracts(B.contracts(spark, sf), view(spark, sf, "domain_status"))
+    out = P.contracts(B.contracts(spark, sf), view(spark, sf, "domain_status"), store=stored)
     rows = out["contracts"].select("contract_id", "amount", "supplier_name", "buyer_name", "email", "domain_label",
                                    F.lit(0).alias("winners"), F.lit(0).alias("buyers"))
     empty = [F.lit("").alias(c) for c in ("supplier_name", "buyer_name", "email", "domain_label")]
@@ -208,7 +209,7 @@ SELECT 'suppliers' AS sheet, supplier_name, supplier_id, signer, email, phone, a
 FROM best_s {_join_full}
 UNION ALL SELECT 'coverage', '', '', '', '', '', '', '', '', count(*), count(*) FILTER (contains(email, '@')), count(*) FILTER (length(phone) > 5) FROM best_s""")
 def _(spark, sf):
-    out = P.supplier_contacts(B.contracts(spark, sf), view(spark, sf, "domain_status"))
+    out = P.supplier_contacts(B.contracts(spark, sf), view(spark, sf, "domain_status"), store=stored)
     names = ["supplier_name", "supplier_id", "signer", "email", "phone", "address", "contract_id", "domain_label"]
     counts = ["total", "with_email", "with_phone"]
     return S.sheets({

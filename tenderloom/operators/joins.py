@@ -58,7 +58,15 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list[str]:
 
 # ------------------------------------------------------------------------------- plain joins
 def counterparty_contacts(counterparties: DataFrame, register: DataFrame, key: str) -> DataFrame:
-    return counterparties.join(register, key, "left")
+    """Every counterparty with each of its contact lines, or with nulls when it has none.
+
+    Written as an inner join plus the counterparties without lines: an outer join could neither
+    split a counterparty that owns a large share of the lines nor stream the lines past a small
+    counterparty table.
+    """
+    with_lines = counterparties.join(register, key)
+    without = counterparties.join(register.select(key).distinct(), key, "left_anti")
+    return with_lines.unionByName(without, allowMissingColumns=True)
 
 
 def attach_verified(base: DataFrame, verified: DataFrame, name_col: str, columns, order,
@@ -95,7 +103,9 @@ def label_dim(df: DataFrame, labels, key: str, out: str = "label") -> DataFrame:
     if isinstance(labels, dict):
         pairs = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
         return df.withColumn(out, F.coalesce(F.try_element_at(pairs, F.col(key)), F.col(key)))
-    joined = lookup_join(df, labels, F.col(key), labels.columns[0], {labels.columns[1]: "_label"})
+    code, label = labels.columns[:2]
+    unique = labels.groupBy(code).agg(F.min(label).alias(label))
+    joined = lookup_join(df, unique, F.col(key), code, {label: "_label"})
     return joined.withColumn(out, F.coalesce("_label", key)).drop("_label")
 
 
@@ -194,10 +204,11 @@ def fill_from_registry(df: DataFrame, registry: DataFrame, email: str = "email",
 
 
 def fill_missing_only(df: DataFrame, pages: DataFrame, preset: str = "first", email: str = "email",
-                      phone: str = "phone", min_len: int = 8) -> DataFrame:
+                      phone: str = "phone", min_len: int = 8, order=None) -> DataFrame:
     """Fills a missing address or phone from the directory page found for the row's key.
 
-    ``pages`` holds (key, html), one page per key. ``preset`` "first" takes the first address in
+    ``pages`` holds (key, html): one page per key, or several of which the first by ``order``
+    counts. ``preset`` "first" takes the first address in
     page order and treats only an address with "@" and a phone longer than 5 as present;
     "sorted" takes the alphabetically first and treats any non-blank value as present.
     """
@@ -213,6 +224,7 @@ def fill_missing_only(df: DataFrame, pages: DataFrame, preset: str = "first", em
     else:
         found = F.array_sort(T.extract_emails("html", R.IGNORE_TOKENS_DOMAIN, "domain"))
     phones = F.slice(F.array_sort(F.array_distinct(T.extract_phones("html"))), 1, 2)
+    pages = first_wins(pages, ["key"], order) if order else pages
     contacts = pages.select(
         "key", F.get(found, F.lit(0)).alias("page_email"), F.array_join(phones, ", ").alias("page_phone"))
     joined = lookup_join(df, contacts, key, "key", {"page_email": "_page_email", "page_phone": "_page_phone"})

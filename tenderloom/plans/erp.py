@@ -38,9 +38,10 @@ def contact_lookups(sources: DataFrame, order=("src_rank", "row_id")) -> tuple[D
         for key, n in ((T.clean_id("org_id"), 5), (T.clean_company("name"), 4), (T.phone_last9("phone"), 9)))
 
 
-def erp_enrich(df: DataFrame, sources: DataFrame, order=("src_rank", "row_id")) -> dict[str, DataFrame]:
+def erp_enrich(df: DataFrame, sources: DataFrame, order=("src_rank", "row_id"), store=None) -> dict[str, DataFrame]:
     """First-wins enrichment: existing address, then id, name and phone lookups."""
     rows = J.tiered_contact_match(df, *contact_lookups(sources, order))
+    rows = store(rows) if store else rows
     return {"contacts": rows, "summary": enrichment_summary(rows)}
 
 

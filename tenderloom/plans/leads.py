@@ -96,7 +96,8 @@ def partner_site_pass(rated: DataFrame, site_texts: DataFrame, rules: R.PartnerR
     instead of being collected and joined back.
     """
     undecided = (F.col("status") == R.PARTNER_CHECK) & T.blank_to_null("website").isNotNull()
-    seen = J.lookup_join(rated, site_texts, F.when(undecided, F.col("website")), "website", {"summary": "_summary"})
+    texts = site_texts.groupBy("website").agg(F.min("summary").alias("summary"))
+    seen = J.lookup_join(rated, texts, F.when(undecided, F.col("website")), "website", {"summary": "_summary"})
     fresh = C.partner_reclass("_summary", rules)
     return seen.withColumn("_o", fresh).withColumns({
         "status": F.coalesce("_o.status", "status"), "reason": F.coalesce("_o.reason", "reason")}).drop("_o", "_summary")

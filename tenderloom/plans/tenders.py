@@ -21,9 +21,13 @@ def tender_parties(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT
     }
 
 
-def tender_parties_strict(tables: dict[str, DataFrame], rules: R.StrictProfile = R.StrictProfile()) -> dict[str, DataFrame]:
-    """Buyers that pass the strict profile, and the winners and bidders of their tenders."""
+def tender_parties_strict(tables: dict[str, DataFrame], rules: R.StrictProfile = R.StrictProfile(), store=None) -> dict[str, DataFrame]:
+    """Buyers that pass the strict profile, and the winners and bidders of their tenders.
+
+    ``store`` (such as ``session.stored``) keeps the accepted buyers, which all three results need.
+    """
     buyers = strict_profile(tables["buyers"], "subject", "buyer_name", rules)
+    buyers = store(buyers) if store else buyers
     return {
         "buyers": buyers,
         "winners": tenders_semi(tables["winners"], buyers, "tender_id"),
@@ -67,10 +71,11 @@ def contracts(found: DataFrame, statuses: DataFrame, store=None) -> dict[str, Da
     }
 
 
-def supplier_contacts(found: DataFrame, statuses: DataFrame) -> dict[str, DataFrame]:
+def supplier_contacts(found: DataFrame, statuses: DataFrame, store=None) -> dict[str, DataFrame]:
     """Most complete contact row of each supplier over the distinct contracts found."""
     unique = D.dedup_by_id_across_queries(found, "id", "query_rank", "pos")
     best = D.dedup_most_complete(
         X.supplier_contact_row(unique), "supplier_name", ["email", "phone"], ["contract_id"])
     rows = _with_domain_label(best, statuses, R.EMAIL_FULL)
+    rows = store(rows) if store else rows
     return {"suppliers": rows, "coverage": coverage(rows, email="email", phone="phone")}
