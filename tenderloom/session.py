@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs rely on: runtime re-planning, skew splitting even where it costs one more
-#: exchange, and a state store that is not bound by executor heap.
+#: exchange, a state store that is not bound by executor heap, and no call-site capture for every
+#: Column that is built.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

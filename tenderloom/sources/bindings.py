@@ -325,7 +325,8 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = scratch_dir(spark, name)
-        build(spark, sf_dir).write.parquet(path)
+        # row groups small enough to be read by several tasks, however few files there are
+        build(spark, sf_dir).write.option("parquet.block.size", 16 << 20).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
