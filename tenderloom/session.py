@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings the jobs rely on: runtime re-planning, skew splitting even where it costs one more
-#: exchange, a state store that is not bound by executor heap, and no call-site capture for every
-#: Column that is built.
+#: exchange, a state store that is not bound by executor heap, generated methods small enough for the
+#: JIT (larger ones run as split projections), and no call-site capture for every Column that is built.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
@@ -50,6 +52,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write is at ``path``, on whatever file system it names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Applies the method limit of :data:`SETTINGS` to a session that was built without it."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, SETTINGS[key])
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back.
 

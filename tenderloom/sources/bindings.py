@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_dir
+from ..session import exists, scratch_dir, small_methods
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -323,10 +323,11 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     they need, instead of carrying the building expressions of whole documents.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
+    if key not in _STORED or not exists(spark, _STORED[key]):
         path = scratch_dir(spark, name)
-        # row groups small enough to be read by several tasks, however few files there are
-        build(spark, sf_dir).write.option("parquet.block.size", 16 << 20).parquet(path)
+        with small_methods(spark):
+            # row groups small enough to be read by several tasks, however few files there are
+            build(spark, sf_dir).write.option("parquet.block.size", 16 << 20).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
