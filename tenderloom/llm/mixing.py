@@ -6,7 +6,7 @@ over length classes (one per binary digit of the word count), longer documents b
 document has an expected number of copies between 0 and ``most``. Its whole part is certain. For the rest
 documents are ranked by random odds over inclusion odds, (u / (1 - u)) / (p / (1 - p)) with u a hash of the
 id, and taken from the smallest on until the source's remaining words are reached: the sample size is
-fixed in words. What the last whole document leaves open is closed with the largest one that fits.
+fixed in words. What the last whole document leaves open is closed with the one that comes nearest to it.
 
 The cut is found on a histogram of the ranks of bounded size per source; rows are ordered only inside
 the one bin that holds the cut, so a source with a third of all rows is never sorted in one task.
@@ -118,14 +118,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
     in_sample = F.col("rank").isNotNull() & F.coalesce(
         (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(row <= F.col("cut"), F.lit(False))),
         F.lit(True))
+    off = F.abs(F.col("size") - F.col("gap"))
     l = F.broadcast(last).alias("l")
     closing = (
         narrowed(ranked).alias("r").join(l, F.col("r.source").eqNullSafe(F.col("l.source")))
-        .filter(~in_sample & (F.col("size") <= F.col("gap")))
-        .groupBy("r.source").agg(F.max(F.struct("size", (-F.col("rank")).alias("order"), "doc_id")).alias("closing")))
+        .filter(~in_sample & (F.col("size") < 2 * F.col("gap")))
+        .groupBy("r.source").agg(F.min(F.struct(off.alias("off"), "rank", "doc_id")).alias("closing")))
     e = F.broadcast(last.alias("l").join(closing.alias("k"), F.col("l.source").eqNullSafe(F.col("k.source")), "left")
                     .select("l.*", "closing")).alias("e")
-    closes = F.coalesce(F.struct("size", (-F.col("rank")).alias("order"), "doc_id") == F.col("closing"), F.lit(False))
+    closes = F.coalesce(F.struct(off.alias("off"), "rank", "doc_id") == F.col("closing"), F.lit(False)) & ~in_sample
     extra = (in_sample | closes).cast("int")
     return (
         ranked.alias("r").join(e, F.col("r.source").eqNullSafe(F.col("e.source")), "left")

@@ -111,7 +111,7 @@ def votes(x: Column) -> Column:
     hit, kind, before = x["hit"], x["kind"], x["before"]
     digits = _digits(hit)
     n = F.length(digits)
-    known = F.lower(F.regexp_extract(hit, r"([A-Za-z0-9-]+)$", 1)).isin(*TOP_DOMAINS)
+    known = F.lower(F.regexp_extract(F.substring_index(F.substring_index(hit, ".", -1), " ", -1), "^[A-Za-z0-9-]+", 0)).isin(*TOP_DOMAINS)
     area = F.regexp_extract(hit, r"^(?:\+[0-9]{1,3})?[^0-9]*([0-9]{3})", 1)
     never = F.lit(False)
     return F.array(
@@ -174,10 +174,11 @@ def train(found: DataFrame) -> tuple[float, list[list[float]]]:
         .collect())  # at most features x SLOTS rows
     total_yes = sum(r["yes"] for r in rows if r["f"] == 0)
     total_no = sum(r["no"] for r in rows if r["f"] == 0)
-    intercept = math.log((total_yes + 1) / (total_no + 1))
-    weights = [[0.0] * SLOTS for _ in range(4)]
+    share = (total_yes + 1) / (total_yes + total_no + 2)
+    intercept = math.log(share / (1 - share))
+    weights = [[0.0] * SLOTS for _ in range(4)]  # a slot never seen says nothing
     for r in rows:
-        weights[r["f"]][r["slot"]] = math.log((r["yes"] + 1) / (r["no"] + 1)) - intercept
+        weights[r["f"]][r["slot"]] = math.log((r["yes"] + share) / (r["no"] + 1 - share)) - intercept
     return intercept, weights
 
 

@@ -113,8 +113,8 @@ r2 as (select *, case when p > 0 and size > 0 then (u / (1 - u)) / (p / (1 - p))
 r3 as (select *, sum(size) over (partition by source order by rank nulls last, doc_id, size rows unbounded preceding) as upto
        from r2 where rank is not null),
 r4 as (select *, upto <= rest as sampled, rest - coalesce(max(case when upto <= rest then upto end) over (partition by source), 0) as gap from r3),
-r5 as (select *, not sampled and size <= gap and row_number() over (
-              partition by source, not sampled and size <= gap order by size desc, rank, doc_id desc) = 1 as closes from r4)
+r5 as (select *, not sampled and size < 2 * gap and row_number() over (
+              partition by source, not sampled and size < 2 * gap order by abs(size - gap), rank, doc_id) = 1 as closes from r4)
 select r2.doc_id, r2.size, r2.source_size, r2.target,
        (r2.size * (r2.whole + coalesce((r5.sampled or r5.closes)::int, 0)))::bigint as taken
 from r2 left join r5 on r2.doc_id = r5.doc_id""",
