@@ -54,7 +54,7 @@ class Tables:
         n = int(np.ceil(8 * spread / self.width)) + 2
         edges = (low[:, None] + np.arange(n + 1)) * self.width
         below = _normal((edges - middle[:, None]) / spread)
-        return low, np.log(np.diff(below, axis=1) + 1e-12)
+        return low, np.log(np.maximum(np.diff(below, axis=1), 0) + 1e-12)
 
     def probes(self, table: int, query):
         """The perturbed buckets to visit, most probable first, and the log probability of the last one."""
@@ -85,9 +85,13 @@ class Tables:
 
 
 def _normal(x):
+    """Normal distribution function to seven digits (Abramowitz and Stegun 26.2.17), enough for an order of visits."""
     import numpy as np
 
-    return np.vectorize(math.erf, otypes=[float])(x / math.sqrt(2)) / 2 + 0.5
+    t = 1 / (1 + 0.2316419 * np.abs(x))
+    tail = np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * t * (
+        0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    return np.where(x > 0, 1 - tail, tail)
 
 
 def _group_of(cells, groups: int):
