@@ -133,7 +133,7 @@ def _(spark, sf):
     written = sink.write_sheets({
         "main": leads.filter(has_email).select("lead_id"), "rest": leads.filter(~has_email).select("lead_id"),
         "never": leads.filter("lead_id < 0").select("lead_id")}, root, optional={"rest", "never"})
-    return S.sheets({n: spark.read.parquet(f"{root}/{n}") for n in written})
+    return S.sheets({n: sink.read_sheet(spark, root, n) for n in written})
 
 
 @query("replace_one_sheet", f"{ctes('leads')} SELECT 'main' AS sheet, lead_id, {s_text('city')} AS city FROM leads UNION ALL SELECT 'rest', lead_id, 'replaced' FROM leads WHERE {s_has('email')}")
@@ -141,8 +141,9 @@ def _(spark, sf):
     root = scratch_dir(spark, "republished")
     leads = view(spark, sf, "leads").select("lead_id", T.null_to_empty("city").alias("city"), "email")
     sink.write_sheets({"main": leads.drop("email"), "rest": leads.drop("email")}, root)
-    sink.replace_one_sheet(leads.filter(T.null_to_empty("email") != "").select("lead_id", F.lit("replaced").alias("city")), root, "rest")
-    return S.sheets({n: spark.read.parquet(f"{root}/{n}") for n in ("main", "rest")})
+    kept = sink.read_sheet(spark, root, "rest").join(leads.filter(T.null_to_empty("email") != "").select("lead_id"), "lead_id", "left_semi")
+    sink.replace_one_sheet(kept.withColumn("city", F.lit("replaced")), root, "rest")
+    return S.sheets({n: sink.read_sheet(spark, root, n) for n in ("main", "rest")})
 
 
 @query("append_jsonl", f"{ctes('tender_base')} SELECT id, {s_text('title')} AS title FROM tender_base WHERE {TARGET_SQL} UNION ALL SELECT id, 'again' FROM tender_base")

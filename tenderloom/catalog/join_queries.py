@@ -225,7 +225,7 @@ def _partner_raw(spark, sf):
 
 
 def _site_texts(spark, sf):
-    return G.page_summary_text(view(spark, sf, "site_pages").select("url", "html")).select(F.col("url").alias("website"), "summary")
+    return G.page_summary_text(view(spark, sf, "site_pages").select("url", "html"), max_chars=None).select(F.col("url").alias("website"), "summary")
 
 
 @query("partner_leads", f"""{ctes('leads')}, {PARTNER_SQL} SELECT lead_id AS row_id, activity_code, activity_label, org_id, name, city, priority FROM pl""")

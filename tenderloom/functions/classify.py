@@ -58,15 +58,22 @@ def order_class(group, item_group, ops, rules: R.OrderRules = R.OrderRules()) ->
         pick(0).alias("category"), pick(1).alias("order_type"), pick(2).alias("offer"))
 
 
-def partner_class(code, text, rules: R.PartnerRules = R.PartnerRules()) -> Column:
-    """Status and reason from the activity code, then from the product text."""
+def _cut(word: Column, length: int | None) -> Column:
+    return word if length is None else F.substring(word, 1, length)
+
+
+def partner_class(code, text, rules: R.PartnerRules = R.PartnerRules(), word_length: int | None = R.MATCHED_WORD_LENGTH) -> Column:
+    """Status and reason from the activity code, then from the product text.
+
+    The reason shows ``word_length`` characters of the word that matched (None: all of it).
+    """
     text = null_to_empty(text)
     safe = F.coalesce(col(code).isin(*rules.safe_codes), F.lit(False))
     blank = (strip(text) == "") | (text == "nan")
     out, inside = matches(text, rules.exclude), matches(text, rules.include)
     word = F.concat(
         F.lit(R.PARTNER_REASON_EXCLUDE),
-        F.substring(first_match(text, rules.exclude), 1, R.MATCHED_WORD_LENGTH), F.lit("…"))
+        _cut(first_match(text, rules.exclude), word_length), F.lit("…"))
     status = (
         F.when(safe, R.PARTNER_OK).when(blank, R.PARTNER_CHECK).when(inside, R.PARTNER_OK)
         .when(out, R.PARTNER_REJECT).otherwise(R.PARTNER_CHECK)
@@ -79,8 +86,8 @@ def partner_class(code, text, rules: R.PartnerRules = R.PartnerRules()) -> Colum
     return F.struct(status.alias("status"), reason.alias("reason"))
 
 
-def partner_reclass(text, rules: R.PartnerRules = R.PartnerRules()) -> Column:
-    """Second look at a web page's text; null where it changes nothing."""
+def partner_reclass(text, rules: R.PartnerRules = R.PartnerRules(), word_length: int | None = R.MATCHED_WORD_LENGTH) -> Column:
+    """Second look at a web page's text; null where it changes nothing. ``word_length`` as above."""
     inside, out = first_match(text, rules.include), first_match(text, rules.exclude)
     prefix = F.lit(R.PARTNER_SITE_PREFIX)
     return F.when(
@@ -90,5 +97,5 @@ def partner_reclass(text, rules: R.PartnerRules = R.PartnerRules()) -> Column:
         out != "",
         F.struct(
             F.lit(R.PARTNER_REJECT).alias("status"),
-            F.concat(prefix, F.substring(out, 1, R.MATCHED_WORD_LENGTH)).alias("reason")),
+            F.concat(prefix, _cut(out, word_length)).alias("reason")),
     )

@@ -87,6 +87,7 @@ def nan_clean(c) -> Column:
 
 
 def text_cap(c, n: int = R.TEXT_CAP) -> Column:
+    """The first ``n`` characters; the rest of the text is lost. No other operator uses it."""
     return F.substring(col(c), 1, n)
 
 
@@ -168,9 +169,11 @@ def percent_decode_email(script) -> Column:
     """First address in a script after URL-decoding.
 
     Only runs of address characters and well-formed escapes are decoded, so that a stray "%" in
-    the script cannot spoil the whole text; "+" keeps its meaning.
+    the script cannot spoil the whole text; "+" keeps its meaning. Stray signs are blanked first, so a
+    run is one character class and the pattern never recurses, however long the run; what holds no
+    "@" after decoding is not searched.
     """
-    runs = F.regexp_extract_all(
-        null_to_empty(script), F.lit(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.@+-])+"), F.lit(0))
+    whole = F.regexp_replace(null_to_empty(script), "%(?![0-9A-Fa-f]{2})", " ")
+    runs = F.regexp_extract_all(whole, F.lit(r"[A-Za-z0-9_.@+%-]++"), F.lit(0))
     decoded = F.transform(runs, lambda r: F.coalesce(F.try_url_decode(F.replace(r, F.lit("+"), F.lit("%2B"))), r))
-    return F.lower(F.regexp_extract(F.array_join(decoded, " "), R.EMAIL_BASE, 0))
+    return F.lower(F.regexp_extract(F.array_join(F.filter(decoded, lambda r: r.contains("@")), " "), R.EMAIL_BASE, 0))

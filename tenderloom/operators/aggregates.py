@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import rules as R
 from ..functions import classify as C, text as T
 from ..functions.priority import has
 
 
+#: Missing pages written out by one row.
+GAP = 10_000
+
+
 def winner_totals(contracts: DataFrame, key: str, amount: str = "amount", contract_id: str = "contract_id") -> DataFrame:
     named = contracts.withColumn(key, T.strip(key)).filter(has(key) & (F.col(key) != "nan"))
     return named.groupBy(key).agg(
@@ -181,9 +185,20 @@ def resume_point(pages_done: DataFrame, key: str, page: str = "page", status: Da
         F.coalesce(done, F.lit(False)).alias("done"))
 
 
+def page_gaps(pages_done: DataFrame, key: str, page: str = "page") -> DataFrame:
+    """Ranges (``first``, ``last``) of pages below each source's last one that were never stored."""
+    done = pages_done.filter(F.col(page) >= 1).select(key, F.col(page).cast("long").alias("_page")).distinct()
+    before = F.coalesce(F.lag("_page").over(Window.partitionBy(key).orderBy("_page")), F.lit(0))
+    return done.select(key, (before + 1).alias("first"), (F.col("_page") - 1).alias("last")).filter("first <= last")
+
+
 def missing_pages(pages_done: DataFrame, key: str, page: str = "page") -> DataFrame:
-    """The pages below each source's last one that were never stored."""
-    done = pages_done.filter(F.col(page) >= 1).select(key, F.col(page).cast("int").alias(page)).distinct()
-    wanted = done.groupBy(key).agg(F.max(page).alias("_max")).select(
-        key, F.explode(F.sequence(F.lit(1), F.col("_max"))).alias(page))
-    return wanted.join(done, [key, page], "left_anti")
+    """The pages below each source's last one that were never stored.
+
+    Only the gaps between stored pages are written out, in pieces of :data:`GAP`, so neither stored pages nor
+    a wrong, very large page number build an array of all pages.
+    """
+    pieces = page_gaps(pages_done, key, page).select(key, "last", F.explode(F.expr(f"sequence(first, last, {GAP}L)")).alias("first"))
+    kind = pages_done.schema[page].dataType
+    return pieces.select(key, F.explode(F.sequence("first", F.least("last", F.col("first") + GAP - 1))).alias("_page")).select(
+        key, F.col("_page").cast("int" if kind.simpleString() != "bigint" else "bigint").alias(page))

@@ -81,15 +81,16 @@ def tender_bidders(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT
     return _parties(tenders, order, "bids", "tenderers", amount, rule)
 
 
-def tender_row(tenders: DataFrame, drop_empty: bool = True) -> DataFrame:
-    """One flat row per tender: first three item texts, sorted class codes, buyer fields.
+def tender_row(tenders: DataFrame, drop_empty: bool = True, item_texts: int | None = 3) -> DataFrame:
+    """One flat row per tender: the first ``item_texts`` item texts (None: all), sorted class codes, buyer fields.
 
     ``drop_empty`` is the text-search form (empty item texts and codes left out, wider fallbacks,
     full-match address); without it the class-code form.
     """
     p = "procuringEntity"
     items = F.col("items")
-    texts = F.transform(F.slice(items, 1, 3), lambda i: _text(i["description"]))
+    shown = items if item_texts is None else F.slice(items, 1, item_texts)
+    texts = F.transform(shown, lambda i: _text(i["description"]))
     codes = F.array_sort(F.array_distinct(F.transform(items, lambda i: _text(i["classification"]["id"]))))
     if drop_empty:
         texts = F.filter(texts, lambda d: d != "")

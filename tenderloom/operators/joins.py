@@ -23,14 +23,17 @@ HOT_DOMAINS = ("gmail.com", "ukr.net", "i.ua", "meta.ua", "outlook.com", "hotmai
 
 def lookup_join(
     df: DataFrame, lookup: DataFrame, key: Column, lookup_key: str, values: dict[str, str],
-    hot: tuple[str, ...] = (), salts: int = SALTS,
+    hot: tuple[str, ...] = (), salts: int = SALTS, salt_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Left join on a string key onto ``lookup``, which must be unique per ``lookup_key``.
 
-    ``values`` maps lookup columns to their names in the result. The salt comes from a hash of the
-    row itself, so a recomputed task places every row where the lost one did.
+    ``values`` maps lookup columns to their names in the result. The salt comes from a hash of
+    ``salt_by`` (columns that tell rows apart), so a recomputed task places every row where the lost
+    one did. Without it the number and time columns are used, which every table here has as ids; wide
+    text and nested columns are never read for it.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("string")
+    salt_by = salt_by or _narrow(df)
+    salt = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("string")
     mark = F.lit("\u0000")
     placed = F.when(key.isNull(), F.concat(mark, salt))
     if hot:
@@ -46,6 +49,12 @@ def lookup_join(
     return left.join(right, left["_key"] == right["_rkey"], "left").drop("_key", "_rkey")
 
 
+def _narrow(df: DataFrame) -> tuple[str, ...]:
+    """Fixed-width columns, or the first plain column where there is none."""
+    plain = [(c, t) for c, t in df.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    return tuple(c for c, t in plain if t not in ("string", "binary")) or (plain[0][0],)
+
+
 def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list[str]:
     """Keys holding at least ``share`` of all rows: never more than ``1 / share`` of them.
 
@@ -204,13 +213,14 @@ def fill_from_registry(df: DataFrame, registry: DataFrame, email: str = "email",
 
 
 def fill_missing_only(df: DataFrame, pages: DataFrame, preset: str = "first", email: str = "email",
-                      phone: str = "phone", min_len: int = 8, order=None) -> DataFrame:
+                      phone: str = "phone", min_len: int = 8, order=None, phones: int | None = 2) -> DataFrame:
     """Fills a missing address or phone from the directory page found for the row's key.
 
     ``pages`` holds (key, html): one page per key, or several of which the first by ``order``
     counts. ``preset`` "first" takes the first address in
     page order and treats only an address with "@" and a phone longer than 5 as present;
-    "sorted" takes the alphabetically first and treats any non-blank value as present.
+    "sorted" takes the alphabetically first and treats any non-blank value as present. Of a page's
+    phones the ``phones`` smallest are taken (None: all). Only pages whose key misses something are read.
     """
     cur_email, cur_phone = T.strip(T.null_to_empty(email)), T.strip(T.null_to_empty(phone))
     has_email = ~cur_email.isin("", "nan")
@@ -223,10 +233,13 @@ def fill_missing_only(df: DataFrame, pages: DataFrame, preset: str = "first", em
         found = T.extract_emails("html")
     else:
         found = F.array_sort(T.extract_emails("html", R.IGNORE_TOKENS_DOMAIN, "domain"))
-    phones = F.slice(F.array_sort(F.array_distinct(T.extract_phones("html"))), 1, 2)
+    every = F.array_sort(F.array_distinct(T.extract_phones("html")))
+    taken = every if phones is None else F.slice(every, 1, phones)
+    missing = df.select(key.alias("key")).filter("key is not null").distinct()
+    pages = pages.join(missing, "key", "left_semi")
     pages = first_wins(pages, ["key"], order) if order else pages
     contacts = pages.select(
-        "key", F.get(found, F.lit(0)).alias("page_email"), F.array_join(phones, ", ").alias("page_phone"))
+        "key", F.get(found, F.lit(0)).alias("page_email"), F.array_join(taken, ", ").alias("page_phone"))
     joined = lookup_join(df, contacts, key, "key", {"page_email": "_page_email", "page_phone": "_page_phone"})
     return joined.select(
         *[c for c in df.columns if c not in (email, phone)],

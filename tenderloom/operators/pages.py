@@ -81,7 +81,7 @@ def _usable(html, min_len: int, m: R.PageMarkers) -> Column:
 
 
 def page_usable(pages: DataFrame, min_len: int = R.MIN_PAGE_LENGTH, markers: R.PageMarkers = R.PageMarkers()) -> DataFrame:
-    """Drops pages that are too short or are challenge pages instead of content."""
+    """Drops pages shorter than ``min_len`` (0: none) and challenge pages instead of content; their rows are lost."""
     return pages.filter(_usable("html", min_len, markers))
 
 
@@ -216,8 +216,11 @@ def hei_page(pages: DataFrame, own_host: str = R.HEI_OWN_HOST, keywords=R.HEI_KE
         F.when(T.contains_any(F.lower(text), keywords), R.HEI_TARGET).otherwise(R.HEI_GENERAL).alias("target_profile"))
 
 
-def page_summary_text(pages: DataFrame, max_chars: int = R.SUMMARY_LENGTH, keep=("url",)) -> DataFrame:
-    """Title, meta description and first- and second-level headings, joined with " | "."""
+def page_summary_text(pages: DataFrame, max_chars: int | None = R.SUMMARY_LENGTH, keep=("url",)) -> DataFrame:
+    """Title, meta description and first- and second-level headings, joined with " | ".
+
+    ``max_chars`` cuts the column for display; classifiers take it whole (None).
+    """
     has_title = F.col("html").rlike(r"(?is)<title\b[^>]*>.*?</title")
     title = joined_text(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
     meta_tags = F.filter(
@@ -229,4 +232,5 @@ def page_summary_text(pages: DataFrame, max_chars: int = R.SUMMARY_LENGTH, keep=
     parts = F.concat(
         F.when(has_title, F.array(title)).otherwise(F.array().cast("array<string>")),
         F.when(meta != "", F.array(unescape(meta))).otherwise(F.array().cast("array<string>")), heads)
-    return pages.select(*keep, F.substring(F.array_join(parts, " | "), 1, max_chars).alias("summary"))
+    whole = F.array_join(parts, " | ")
+    return pages.select(*keep, (whole if max_chars is None else F.substring(whole, 1, max_chars)).alias("summary"))

@@ -90,7 +90,7 @@ def partner_filtered(leads: DataFrame, rules: R.PartnerRules = R.PartnerRules(),
 
 
 def partner_site_pass(rated: DataFrame, site_texts: DataFrame, rules: R.PartnerRules = R.PartnerRules()) -> DataFrame:
-    """Second look at undecided rows through their site's summary text (website, summary).
+    """Second look at undecided rows through their site's whole summary text (website, summary).
 
     The verdict depends only on the row and its site, so it is laid over the row where it stands
     instead of being collected and joined back.

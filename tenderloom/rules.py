@@ -250,8 +250,7 @@ BUYER_DENY_CONTRACT = BUYER_DENY_SEARCH + r"|ДСНС|dsns|пожежн"
 UNIT_DENY = ("LTR", "MLT", "KGM", "GRM", "MTQ", "CMQ")
 MIN_AMOUNT = 1000
 
-# Core and secondary class codes.
-CORE_CODES = ("22114200-4", "22114300-5", "39162110-9", "22832000-1", "37520000-9")
+# Secondary class codes.
 SECONDARY_CODES = (
     "22111000-1", "22112000-8", "39162100-6", "39162200-7", "39162000-5", "22830000-7", "22458000-5",
 )

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from . import schemas as S
 from ..functions import text as T
 from ..operators.joins import label_dim
+from .sink import read_sheet
 
 
 def scan_jsonl(spark: SparkSession, path, schema: str) -> DataFrame:
@@ -96,7 +97,7 @@ def scan_csv_aliased(spark: SparkSession, root: str, aliases=S.CSV_ALIASES, labe
 
 def scan_sheets(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
     """Named tables of one published set, every value as text, null as ""."""
-    tables = {n: spark.read.parquet(f"{root}/{n}") for n in names}
+    tables = {n: read_sheet(spark, root, n) for n in names}
     return {n: df.select(*[T.null_to_empty(F.col(c).cast("string")).alias(c) for c in df.columns])
             for n, df in tables.items()}
 

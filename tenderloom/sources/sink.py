@@ -1,7 +1,13 @@
-"""Table sinks. All write in parallel; none gathers its rows into one file."""
+"""Table sinks. All write in parallel; none gathers its rows into one file.
+
+Published tables are kept as versions: ``root/<name>/v=<version>`` holds one complete write and
+``root/<name>/versions`` names it afterwards, in a file of its own that Spark commits as a whole. Readers take
+the last version named, so a table may be rewritten from itself and a failed write leaves the old rows.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,20 +19,41 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
+def _write_version(df: DataFrame, root: str, name: str) -> str:
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{name}/v={version}")
+    return version
+
+
+def _publish(spark: SparkSession, root: str, name: str, version: str) -> None:
+    spark.range(1, numPartitions=1).select(F.lit(version)).write.mode("append").text(f"{root}/{name}/versions")
+
+
+def read_sheet(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The last published version of a table."""
+    version = spark.read.text(f"{root}/{name}/versions").agg(F.max("value")).first()[0]
+    return spark.read.parquet(f"{root}/{name}/v={version}")
+
+
 def write_sheets(tables: dict[str, DataFrame], root: str, optional: set[str] = frozenset()) -> list[str]:
-    """Publishes each table under ``root/<name>``; optional ones only when they have rows."""
+    """Publishes each table under ``root/<name>``; optional ones only when they have rows.
+
+    Every plan runs once: whether an optional table has rows is seen in what was written.
+    """
     written = []
     for name, df in tables.items():
-        if name in optional and df.isEmpty():
+        spark = df.sparkSession
+        version = _write_version(df, root, name)
+        if name in optional and spark.read.parquet(f"{root}/{name}/v={version}").isEmpty():
             continue
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        _publish(spark, root, name, version)
         written.append(name)
     return written
 
 
 def replace_one_sheet(df: DataFrame, root: str, name: str) -> None:
-    """Rewrites one table of a published set; ``df`` must not read that same table."""
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+    """Publishes a new version of one table of a set; ``df`` may read that same table."""
+    _publish(df.sparkSession, root, name, _write_version(df, root, name))
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
@@ -48,17 +75,17 @@ def register_snapshot(spark: SparkSession, path, source_id: str, version: str, u
 
 
 # ------------------------------------------------------------------------------- upsert log
-# A parquet folder cannot be updated in place. Each batch is stored once, under its own number, and
-# readers merge: writing a batch again replaces exactly that batch, so a replay changes nothing, and
-# no batch rewrites the rows of the others.
-def write_upsert_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+# A parquet folder cannot be updated in place. Each batch is stored once, under the id of its query and
+# its own number, and readers merge: writing a batch again replaces exactly that batch, so a replay changes
+# nothing, and neither another batch nor a query with a new checkpoint rewrites it.
+def write_upsert_batch(df: DataFrame, root: str, batch_id: int, run: str = "0") -> None:
+    df.write.mode("overwrite").parquet(f"{root}/run={run}/batch_id={batch_id}")
 
 
-def read_upserted(spark: SparkSession, root: str, keys, order) -> DataFrame:
-    """Current state of an upsert log: the last row per key over all batches."""
+def read_upserted(spark: SparkSession, root: str, keys, order, ingest_time: str = "ingested_at") -> DataFrame:
+    """Current state of an upsert log: per key the last row by ingest time, batch and ``order``, over all queries."""
     log = spark.read.parquet(root)
-    return upsert_latest(None, log, keys, ["batch_id", *order]).drop("batch_id")
+    return upsert_latest(None, log, keys, [ingest_time, "batch_id", *order, "run"], ingest_time).drop("batch_id", "run")
 
 
 def publish_upserted(spark: SparkSession, root: str, target: str, keys, order) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -35,10 +37,14 @@ def stream_new_matches(
 
 
 def stream_upsert(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Stores each micro-batch once under its number; ``read_upserted`` gives the merged state."""
+    """Stores each micro-batch once; ``read_upserted`` gives the merged state.
+
+    A batch is stored under the id of the streaming query, which lives in its checkpoint, and its number.
+    """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_upsert_batch(batch, root, batch_id)
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_upsert_batch(batch, root, batch_id, run or hashlib.sha256(checkpoint.encode()).hexdigest())
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

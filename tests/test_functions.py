@@ -149,3 +149,11 @@ def test_priorities(columns):
 
 def test_priority_score(column):
     assert column(P.priority_score, ["P1 - x", "P2", "P3", None]) == [1, 2, 3, 3]
+
+
+def test_percent_decoding_of_a_very_long_run(spark):
+    from tenderloom.functions.text import percent_decode_email
+
+    rows = spark.createDataFrame([("x" * 100_000 + " %61b%40c.ua",), ("A%zz" * 30_000,), ("k" * 100_000 + "%40q.ua 50%",)], "s string").repartition(2)
+    got = sorted(len(r[0]) for r in rows.select(percent_decode_email("s")).collect())
+    assert got[0] == 0 and got[1] == len("ab@c.ua")

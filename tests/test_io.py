@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tenderloom.session import scratch_dir, stored
@@ -50,8 +51,11 @@ def test_csv_and_sheets(spark, tmp_path):
     root = str(tmp_path / "s")
     assert sink.write_sheets({"main": df, "none": df.filter("false")}, root, {"none"}) == ["main"]
     assert sorted(tuple(r) for r in scan.scan_sheets(spark, root, ["main"])["main"].collect()) == [("", ""), ("a;b", "1.5")]
-    sink.replace_one_sheet(df.limit(1), root, "main")
-    assert spark.read.parquet(f"{root}/main").count() == 1
+    sink.replace_one_sheet(sink.read_sheet(spark, root, "main").filter("x > 1").withColumn("x", F.col("x") + 1), root, "main")
+    assert [tuple(r) for r in sink.read_sheet(spark, root, "main").collect()] == [("a;b", 2.5)]
+    with pytest.raises(Exception, match="BAD_LINE"):
+        sink.replace_one_sheet(df.select(F.raise_error(F.lit("BAD_LINE")).cast("string").alias("t")), root, "main")
+    assert sink.read_sheet(spark, root, "main").count() == 1  # a failed write leaves the old rows
 
 
 def test_snapshot(spark, tmp_path):
@@ -104,5 +108,7 @@ def test_upsert_log_is_idempotent(spark, tmp_path):
     assert state() == want
     sink.write_upsert_batch(b1, log, 1)  # a replayed batch
     assert state() == want
+    sink.write_upsert_batch(spark.createDataFrame([("C", "2", "c", 1, "d3")], schema), log, 0, "other")  # a new checkpoint
+    assert state() == {**want, "C": ("c", "d3", None)}
     sink.publish_upserted(spark, log, str(tmp_path / "out"), ["name", "activity_code"], ["seq"])
     assert (tmp_path / "out" / "activity_code=1").exists()

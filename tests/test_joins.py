@@ -182,3 +182,12 @@ def test_label_dim(spark):
     assert [r.label for r in J.label_dim(df, R.PARTNER_CODES, "c").collect()] == [R.PARTNER_CODES["47.61"], "00.00", None]
     dim = spark.createDataFrame([("47.61", "books")], "code string, label string")
     assert {r.c: r.label for r in J.label_dim(df, dim, "c").collect()} == {"47.61": "books", "00.00": "00.00", None: None}
+
+
+def test_lookup_reads_only_what_it_needs(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(10).selectExpr("id", "concat('a@d', id, '.ua') AS email", "repeat('x', 100) AS html", "map('k', 'v') AS m").write.parquet(path)
+    statuses = spark.createDataFrame([("d1.ua", True)], "domain string, active boolean")
+    out = J.domain_status(spark.read.parquet(path), "email", statuses).select("id", "active")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan.split("ReadSchema")[1] and out.filter("active").count() == 1
