@@ -83,9 +83,13 @@ def write_upsert_batch(df: DataFrame, root: str, batch_id: int, run: str = "0")
 
 
 def read_upserted(spark: SparkSession, root: str, keys, order, ingest_time: str = "ingested_at") -> DataFrame:
-    """Current state of an upsert log: per key the last row by ingest time, batch and ``order``, over all queries."""
+    """Current state of an upsert log: per key the last row over all queries.
+
+    Queries follow each other by their first ingest time; inside one the batch number, then ``order``, decides.
+    """
     log = spark.read.parquet(root)
-    return upsert_latest(None, log, keys, [ingest_time, "batch_id", *order, "run"], ingest_time).drop("batch_id", "run")
+    begun = log.groupBy("run").agg(F.min(ingest_time).alias("_begun"))  # one row per query
+    return upsert_latest(None, log.join(begun, "run"), keys, ["_begun", "run", "batch_id", *order], ingest_time).drop("batch_id", "run", "_begun")
 
 
 def publish_upserted(spark: SparkSession, root: str, target: str, keys, order) -> None:
