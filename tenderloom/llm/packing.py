@@ -124,8 +124,8 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = 2
             return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                part = batch.iloc[low:low + 500]
+            for low in range(0, len(batch), 2000):
+                part = batch.iloc[low:low + 2000]
                 for missing, doc_id, ids in zip(part["missing"], part["doc_id"], tokenizer.encode([t or "" for t in part["text"]])):
                     ids += end
                     tokens = len(ids) // 4

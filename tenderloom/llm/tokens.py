@@ -2,7 +2,7 @@
 
 Both vocabularies used here cut a text before every single space between two other characters, so a text's
 ids are those of its words one after the other. Words are looked up in a table of bounded size per worker and
-only new ones go to the tokenizer, in one batch. A text with any other white space (double spaces, tabs,
+only new ones go to the tokenizer, many of them joined into one text. A text with any other white space (double spaces, tabs,
 leading or trailing space, Unicode spaces) is encoded in one piece by the tokenizer itself.
 """
 
@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from string import ascii_lowercase, ascii_uppercase
 
 #: White-space characters other than space and line feed, as any of the libraries understands them.
 OTHER_SPACE = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " ", " ", " ", " ",
                " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", "　")
 REMEMBERED = 600_000
+#: Words that go to the tokenizer as one text.
+JOINED = 200
 
 
 def plain(text: str) -> bool:
@@ -34,12 +37,51 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
         self.known: dict[str, bytes] = {}
+        normalizer = self.tokenizer.normalizer
+        #: whether the tokenizer itself puts A-Z into lower case
+        self.lowers = normalizer is not None and normalizer.normalize_str(ascii_uppercase) == ascii_lowercase
+        self.border = self._borders()
+
+    def _borders(self):
+        """By id, whether it is the first (``keeps_space``) or the last token of a word."""
+        import numpy as np
+
+        mark = "\u0120" if self.keeps_space else "</w>"
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        out = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        found = [i for token, i in vocabulary.items() if (token.startswith(mark) if self.keeps_space else token.endswith(mark))]
+        out[found] = True
+        return out
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
         import numpy as np
 
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters only, which are encoded many at a time and cut where a word begins or ends.
+
+        Each word has at least one border, so as many borders as words means that each has its own; otherwise
+        the words are encoded one by one.
+        """
+        import numpy as np
+
+        out: list[bytes] = []
+        runs = [words[at:at + JOINED] for at in range(0, len(words), JOINED)]
+        glue = "" if self.keeps_space else " "
+        for run, raw in zip(runs, self._encode([glue.join(run) for run in runs])):
+            ids = np.frombuffer(raw, "<u4")
+            at = np.flatnonzero(self.border[np.minimum(ids, len(self.border) - 1)]) * 4
+            if len(at) != len(run) or int(ids.max()) >= len(self.border):
+                out += self._encode(run)
+            elif self.keeps_space:
+                cuts = [*at.tolist(), len(raw)]
+                out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                cuts = [0, *(at + 4).tolist()]
+                out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
     def _ids(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words, from memory or from one call of the tokenizer."""
         known = self.known
@@ -49,11 +91,17 @@ class WordTokenizer:
         if None in got:
             new = [w for w, ids in zip(words, got) if ids is None]
             # a mark after letters is a token of its own, so the bare word and the mark are enough
-            marked = {w for w in new if w[-1] in ",." and w[:-1].strip(" ").isalpha()}
-            ask = {w for w in new if w not in marked}
+            marked = [w for w in new if w[-1] in ",." and w[:-1].strip(" ").isalpha()]
+            skip = set(marked)
+            ask = {w for w in new if w not in skip}
             ask.update(s for s in [w[:-1] for w in marked] + [",", "."] if s not in known)
-            ask = list(ask)
-            known.update(zip(ask, self._encode(ask)))
+            if self.keeps_space:
+                letters = [w for w in ask if w[0] == " " and w[1:].isalpha()]
+            else:
+                letters = [w for w in ask if w.isalpha()]
+            known.update(zip(letters, self._encode_words(letters)))
+            rest = list(ask.difference(letters))
+            known.update(zip(rest, self._encode(rest)))
             known.update([(w, known[w[:-1]] + known[w[-1]]) for w in marked])
             got = list(map(known.__getitem__, words))
         return got
@@ -85,24 +133,20 @@ class WordTokenizer:
         if not easy:
             return out
         line = pa.array([texts[i] for i in easy], pa.large_string())
+        if self.lowers:  # fewer distinct words; a combining mark could join a letter in one case only
+            line = pc.if_else(pc.match_substring_regex(line, r"\p{M}"), line, pc.ascii_lower(line))
         if self.keeps_space:  # a word keeps the space before it; line feeds stand alone
             line = pc.replace_substring(pc.replace_substring(line, " ", "\x00 "), "\n", "\x00\n\x00")
             lists = pc.split_pattern(line, "\x00")
         else:
             lists = pc.split_pattern(pc.replace_substring(line, "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        begin = np.cumsum(length) - length
-        at = words.indices.to_numpy()
-        many = length[at]
-        upto = np.cumsum(many)
-        gathered = flat[np.repeat(begin[at] - (upto - many), many) + np.arange(upto[-1])]
-        ends = upto[np.cumsum(pc.list_value_length(lists).to_numpy()) - 1].tolist()
-        raw, before = gathered.tobytes(), 0
+        ids = pa.array(self._ids(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        upto = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        ends = upto[np.cumsum(pc.list_value_length(lists).to_numpy())].tolist()
+        raw, before = memoryview(ids.buffers()[2]), int(upto[0])
         for i, end in zip(easy, ends):
-            out[i] = raw[before * 4:end * 4]
+            out[i] = bytes(raw[before:end])
             before = end
         return out
 

@@ -489,3 +489,16 @@ def test_pipeline(spark, con, texts):
     rows = corpus_pipeline.packed_sequences(spark, mixed, SF).collect()
     assert sum(r["length"] for r in rows) == sum(r["doc_tokens"] for r in rows if r["start"] == 0)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
+
+
+@pytest.mark.parametrize("name, keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_words_one_by_one_encode_like_whole_texts(name, keeps_space):
+    from tenderloom.llm.queries import vocabulary
+    from tenderloom.llm.tokens import WordTokenizer
+
+    odd = ["J̌a b", "İstanbul, ı I ß ẞ.", "", "a", "A", "x,", "12. a1. b$$$, c", "don't CAN'T it's", "\n", "a\nb",
+           "a\n b", "é́ é. É, Ω Ὀδυσσεύς. ΣΑΣ", "<|endoftext|> a",
+           "Ａｂｃ ㍿ ﬁ 漢字. かな", " lead", "trail ", "K Å", "ẖ H̱ T̈", "a" * 3000,
+           "ʰa ªb ǅa", "\U0001d49c\U0001d4b7 a", "One one ONE, oNe."]
+    tokenizer = WordTokenizer(vocabulary(name), keeps_space)
+    assert tokenizer.encode(odd) == tokenizer._encode(odd) == tokenizer.encode(odd)
