@@ -20,16 +20,17 @@ _ENTITIES = (
 
 def _numeric_entity(token: Column) -> Column:
     digits = F.regexp_extract(token, r"^&#([0-9]{1,7});$", 1)
-    code = F.hex(F.expr("0") + digits.try_cast("int"))
-    return F.when(digits != "", F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(token)
+    hexed = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1)
+    code = F.when(hexed != "", hexed).otherwise(F.hex(F.expr("0") + digits.try_cast("int")))
+    return F.when((digits != "") | (hexed != ""), F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(token)
 
 
 def unescape(c) -> Column:
-    """HTML entities to characters: the common named ones and decimal codes."""
+    """HTML entities to characters: the common named ones, decimal and hexadecimal codes."""
     text = T.col(c)
     for name, char in _ENTITIES:
         text = F.replace(text, F.lit(name), F.lit(char))
-    tokens = F.regexp_extract_all(text, F.lit(r"&#[0-9]{1,7};|[^&]+|&"), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&"), F.lit(0))
     text = F.when(text.contains("&#"), F.array_join(F.transform(tokens, _numeric_entity), "")).otherwise(text)
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
@@ -52,18 +53,39 @@ def page_text(html) -> Column:
     return unescape(bare)
 
 
+def _own_content(rest: Column, tag: str) -> Column:
+    """What comes before the closing tag that belongs to an element whose content starts ``rest``.
+
+    The text is cut at closing tags of that name; the element ends at the first cut where no more of them
+    were opened than closed, or with the text if it is never closed.
+    """
+    def upto_end(pieces):
+        opened = F.transform(pieces, lambda p: F.regexp_count(p, F.lit(rf"(?i)<{tag}\b")))
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
+        found = F.aggregate(opened, start, lambda s, n: F.struct(
+            (s["depth"] + n - 1).alias("depth"), (s["seen"] + 1).alias("seen"),
+            F.when((s["end"] == 0) & (s["depth"] + n == 1), s["seen"] + 1).otherwise(s["end"]).alias("end")))["end"]
+        length = F.when(found > 0, found).otherwise(F.size(pieces))
+        return F.array_join(F.slice(pieces, F.lit(1), length), f"</{tag}>")
+
+    # as a lambda variable the pieces are made once
+    return F.get(F.transform(F.array(F.split(rest, rf"(?i)</{tag}\s*>")), upto_end), F.lit(0))
+
+
 def _class_fragment(html, tag: str, cls: str) -> Column:
-    """Content of the first ``tag`` carrying class ``cls``, up to the next closing ``tag``."""
-    return F.regexp_extract(
-        T.null_to_empty(html), rf'(?s)<{tag}\b[^>]*\bclass="(?:[^"]*\s)?{cls}(?:\s[^"]*)?"[^>]*>(.*?)</{tag}>', 1)
+    """Content of the first ``tag`` carrying class ``cls``, up to its own closing tag; "" if there is none."""
+    return _own_content(F.regexp_extract(
+        T.null_to_empty(html), rf"""(?s)<{tag}\b[^>]*\bclass=(["'])(?:[^"'>]*\s)?{cls}(?:\s[^"'>]*)?\1[^>]*>(.*)""", 2), tag)
 
 
 def _class_section(html, cls: str, marker: str) -> Column:
-    """First block that starts at ``cls`` and mentions ``marker``, up to the next such block."""
-    blocks = F.split(T.null_to_empty(html), r'<div\b[^>]*\bclass="(?:[^"]*\s)?znv-card-')
-    hit = F.filter(blocks, lambda b: b.startswith(cls) & b.contains(marker))
-    body = F.regexp_replace(F.get(hit, F.lit(0)), r'(?s)^[^>]*>|</body>.*$|<footer\b.*$', "")
-    return unescape(F.regexp_replace(T.null_to_empty(body), r"<[^>]*>", ""))
+    """Text of the first card of class ``cls`` that mentions ``marker``, up to the card's own end or the next card."""
+    blocks = F.split(T.null_to_empty(html), r"""<div\b[^>]*\bclass=["'](?:[^"'>]*\s)?znv-card-""")
+    cards = F.transform(
+        F.filter(blocks, lambda b: b.rlike(rf"""^{cls}[\s"']""") & b.contains(marker)),
+        lambda b: _own_content(F.regexp_replace(b, r"(?s)^[^>]*>|</body>.*$", ""), "div"))
+    return unescape(F.regexp_replace(
+        T.null_to_empty(F.get(F.filter(cards, lambda c: c.contains(marker)), F.lit(0))), r"<[^>]*>", ""))
 
 
 # ------------------------------------------------------------------------------- page quality

@@ -78,3 +78,20 @@ def test_usable(spark):
 def test_one_page_per_key(spark):
     df = spark.createDataFrame([("a", "p", 2), ("a", "p", 1), ("a", None, 3), ("a", "", 4)], "url string, params string, pos int")
     assert sorted(r.pos for r in G.one_page_per_key(df, ["pos"], "params").collect()) == [1, 3]
+
+
+def test_fragments_end_at_their_own_closing_tag(spark):
+    html = ('<div class="search-result__info"><div>x</div>Found 55</div><div class=\'pagination\'><div><a>1</a></div>'
+            '<a>9</a></div><a>77</a>')
+    open_end = '<div class="search-result__info">12 <div>x</div>'
+    got = {r.url: (r.total_companies, r.total_pages) for r in G.listing_totals(pages(spark, html, open_end)).collect()}
+    assert got["u0"] == (55, 9) and got["u1"][0] == 12
+    badge = card("Фірма", ("pin", "місто")).replace('__title"><a', '__title"><div>badge</div><a')
+    assert [r.name for r in G.listing_cards(pages(spark, badge)).collect()] == ["Фірма"]
+
+
+def test_school_card_text_ends_with_the_card(spark):
+    html = ("<h2 class='text-center'>Ліцей &#x41;&#66;</h2><div class='znv-card-blue'><div>Контакти</div><p>a@school.ua</p></div>"
+            '<div class="side">Телефон (0432) 12-34-56</div><div class="znv-card-gray"><div>Адреса</div> м.Вінниця, вул. 1</div><div>вул. 2</div>')
+    r = G.school_card(pages(spark, html)).collect()[0]
+    assert (r.name, r.email, r.phone, r.address) == ("Ліцей AB", "a@school.ua", "", "м.Вінниця, вул. 1")
