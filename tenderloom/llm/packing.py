@@ -124,19 +124,19 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = 2
             return pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
 
         for batch in batches:
-            for low in range(0, len(batch), 2000):
-                part = batch.iloc[low:low + 2000]
-                for missing, doc_id, ids in zip(part["missing"], part["doc_id"], tokenizer.encode([t or "" for t in part["text"]])):
-                    ids += end
-                    tokens = len(ids) // 4
-                    for start in range(0, tokens, length):
-                        size = min(length, tokens - start)
-                        held[n] = (None if missing else int(doc_id), start, ids[start * 4:(start + size) * 4], tokens)
-                        packer.place((n, start, size), size)
-                        n += 1
-                if packer.done:
+            encoded = tokenizer.encoded(t or "" for t in batch["text"])
+            for missing, doc_id, ids in zip(batch["missing"], batch["doc_id"], encoded):
+                ids += end
+                tokens = len(ids) // 4
+                for start in range(0, tokens, length):
+                    size = min(length, tokens - start)
+                    held[n] = (None if missing else int(doc_id), start, ids[start * 4:(start + size) * 4], tokens)
+                    packer.place((n, start, size), size)
+                    n += 1
+                if len(packer.done) >= 500:
                     yield rows(packer.done, True)
                     packer.done = []
+        yield rows(packer.done, True)
         yield rows(lay_out(packer.leftover(), length), False)
 
     id_ = F.col(id_col).cast("long")

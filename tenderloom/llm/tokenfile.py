@@ -202,11 +202,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, keeps_space:
                 name = f"part-{part:06d}-{uuid.uuid4().hex}.pfor"
                 sink = system.open_output_stream(f"{root}/{name}")
                 writer = TokenFileWriter(sink)
-            for at in range(0, len(batch), 500):
-                rows = batch.iloc[at:at + 500]
-                encoded = tokenizer.encode([t or "" for t in rows["text"]])
-                for missing, doc_id, ids in zip(rows["missing"], rows["doc_id"], encoded):
-                    writer.add(None if missing else int(doc_id), ids + end)
+            encoded = tokenizer.encoded(t or "" for t in batch["text"])
+            for missing, doc_id, ids in zip(batch["missing"], batch["doc_id"], encoded):
+                writer.add(None if missing else int(doc_id), ids + end)
         if writer is not None:
             writer.close()
             sink.close()

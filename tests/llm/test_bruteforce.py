@@ -502,3 +502,22 @@ def test_words_one_by_one_encode_like_whole_texts(name, keeps_space):
            "ʰa ªb ǅa", "\U0001d49c\U0001d4b7 a", "One one ONE, oNe."]
     tokenizer = WordTokenizer(vocabulary(name), keeps_space)
     assert tokenizer.encode(odd) == tokenizer._encode(odd) == tokenizer.encode(odd)
+
+
+@pytest.mark.parametrize("name, keeps_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_mixed_words_encode_like_whole_texts(name, keeps_space):
+    import random
+
+    from tenderloom.llm.queries import vocabulary
+    from tenderloom.llm.tokens import WordTokenizer
+
+    atoms = ["the", "Foo", "can't", "it's,", "'s", "\"),", "a.b", "1234", "12,", "É", "é", "ß,", "İ", "ǅ.", "中,", "का", "👍🏽,",
+             "<|endoftext|>", "<x>", "</w>", "Ġa", "Ċ", "½", "Ⅷ.", "ʰ,", "ꟊ,", "  ", "\xa0", "\n", "가", "ᄀ", "ᅡ", "\x00", ",", "a,b,", ""]
+    draw = random.Random(5)
+    tokenizer = WordTokenizer(vocabulary(name), keeps_space)
+    for turn in range(40):
+        texts = [draw.choice([" ", " ", "\n"]).join("".join(draw.choices(atoms, k=draw.choice([1, 1, 2]))) for _ in range(draw.randrange(12)))
+                 for _ in range(40)]
+        assert tokenizer.encode(texts) == tokenizer._encode(texts)
+        if turn == 20:
+            tokenizer._forget()
