@@ -16,6 +16,9 @@ from string import ascii_lowercase, ascii_uppercase
 OTHER_SPACE = ("\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", " ", " ", " ", " ",
                " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", " ", "　")
 REMEMBERED = 1_000_000
+#: Letters that stay letters when a normalizer composes them or puts them into lower case (others may leave a mark).
+STEADY = (r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}\x{388}-\x{38A}\x{38E}-\x{3A1}\x{3A3}-\x{3CE}"
+          r"\x{400}-\x{481}\x{48A}-\x{52F}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}")
 #: Words that go to the tokenizer as one text.
 JOINED = 500
 #: Characters of the texts whose words are told apart at once; a longer text is worked on alone.
@@ -43,6 +46,7 @@ class WordTokenizer:
         self.keeps_space = keeps_space
         self._forget()
         normalizer = self.tokenizer.normalizer
+        self.letters = r"\p{L}" if normalizer is None else f"[{STEADY}]"
         #: whether the tokenizer itself puts A-Z into lower case
         self.lowers = normalizer is not None and normalizer.normalize_str(ascii_uppercase) == ascii_lowercase
         self.added = sorted({t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
@@ -137,7 +141,7 @@ class WordTokenizer:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        marked = pc.match_substring_regex(new, r"^ ?\p{L}+[,.]$")
+        marked = pc.match_substring_regex(new, rf"^ ?{self.letters}+[,.]$")
         bare = pc.if_else(marked, pc.utf8_slice_codeunits(new, 0, -1), new)
         mark = pc.if_else(marked, pc.utf8_slice_codeunits(new, -1), pa.scalar(",", pa.large_string()))
         ask = pc.unique(pa.concat_arrays([bare, pa.array([",", "."], pa.large_string())]))

@@ -512,7 +512,7 @@ def test_mixed_words_encode_like_whole_texts(name, keeps_space):
     from tenderloom.llm.tokens import WordTokenizer
 
     atoms = ["the", "Foo", "can't", "it's,", "'s", "\"),", "a.b", "1234", "12,", "É", "é", "ß,", "İ", "ǅ.", "中,", "का", "👍🏽,",
-             "<|endoftext|>", "<x>", "</w>", "Ġa", "Ċ", "½", "Ⅷ.", "ʰ,", "ꟊ,", "  ", "\xa0", "\n", "가", "ᄀ", "ᅡ", "\x00", ",", "a,b,", ""]
+             "<|endoftext|>", "<x>", "</w>", "Ġa", "Ċ", "½", "Ⅷ.", "ʰ,", "ꟊ,", "\u0958,", "\ufb2a.", "  ", "\xa0", "\n", "가", "ᄀ", "ᅡ", "\x00", ",", "a,b,", ""]
     draw = random.Random(5)
     tokenizer = WordTokenizer(vocabulary(name), keeps_space)
     for turn in range(40):
