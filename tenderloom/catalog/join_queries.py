@@ -342,9 +342,9 @@ UNION ALL SELECT 'winners', '', {s_strip('supplier_name')}, {lit(R.CATEGORY_WINN
 FROM kept_c WHERE {s_strip('supplier_name')} NOT IN ('', 'nan') GROUP BY {s_strip('supplier_name')}""")
 def _(spark, sf):
     statuses = view(spark, sf, "domain_status")
-    tenders = TP.target_tenders(B.tenders(spark, sf), statuses)
-    contracts = TP.contracts(B.contracts(spark, sf), statuses, store=stored)["contracts"].withColumn("amount", F.col("amount").cast("decimal(18,2)"))
-    schools = Q.school_leads(*_portal_registry(spark, sf))[0]
+    tenders = TP.target_tenders(B.tenders(spark, sf), statuses, ordered=False)
+    contracts = TP.contracts(B.contracts(spark, sf), statuses, store=stored, ordered=False)["contracts"].withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    schools = Q.school_leads(*_portal_registry(spark, sf), ordered=False)[0]
     out = Q.master_outreach(tenders, contracts, schools, store=stored)
     parts = {
         n: df.select("email", "name", "category", "priority_label", F.lit(0).cast("bigint").alias("contracts"), F.lit(0.0).alias("total"))
@@ -410,5 +410,5 @@ def _(spark, sf):
     clients = stored(J.client_sales_left(view(spark, sf, "clients"), A.counterparty_summary(view(spark, sf, "sales"))), "clients")
     verified = view(spark, sf, "leads").withColumn("counterparty", F.col("name")).select("counterparty", "email", "phone", "src_rank", "pos")
     bases = {f"base {b}": (X.base_member(clients, "bases", b), verified) for b in ("F", "O")}
-    master = P.erp_segment(bases, ["email", "phone"], ["src_rank", "pos"])["master"]
+    master = P.erp_segment(bases, ["email", "phone"], ["src_rank", "pos"], store=stored)["master"]
     return master.select("source_base", "counterparty", T.null_to_empty("email").alias("email"), T.null_to_empty("phone").alias("phone"), "category", "offer")

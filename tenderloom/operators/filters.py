@@ -59,7 +59,8 @@ def tender_target(tenders: DataFrame, keywords=R.FEED_KEYWORDS, prefixes=R.FEED_
     return tenders.filter(T.contains_any(text, keywords) | F.exists(_items(), item_hit))
 
 
-def _profile_ok(rules: R.TenderRules) -> Column:
+def profile_ok(rules: R.TenderRules) -> Column:
+    """Whether a tender document passes: goods, buyer, units and amount."""
     bad_unit = F.exists(
         _items(), lambda i: F.upper(T.null_to_empty(i["unit"]["code"])).isin(*rules.unit_deny))
     raw = F.col("value.amount").cast("string")
@@ -73,13 +74,13 @@ def _profile_ok(rules: R.TenderRules) -> Column:
 
 def tender_profile(tenders: DataFrame, rules: R.TenderRules = R.TENDER_SEARCH) -> DataFrame:
     """Drops denied goods, denied buyers, bulk units and amounts under the minimum."""
-    return tenders.filter(_profile_ok(rules))
+    return tenders.filter(profile_ok(rules))
 
 
 def tender_profile_coded(tenders: DataFrame, code_col: str, rules: R.TenderRules = R.TENDER_CODED) -> DataFrame:
     """As :func:`tender_profile`; a secondary class code also needs an allowed word."""
     secondary = F.coalesce(F.col(code_col).isin(*rules.secondary_codes), F.lit(False))
-    return tenders.filter(_profile_ok(rules) & (~secondary | T.matches(_goods_text(), rules.goods_allow)))
+    return tenders.filter(profile_ok(rules) & (~secondary | T.matches(_goods_text(), rules.goods_allow)))
 
 
 def strict_profile(df: DataFrame, title: str, buyer: str, rules: R.StrictProfile = R.StrictProfile()) -> DataFrame:

@@ -81,11 +81,11 @@ def tender_bidders(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT
     return _parties(tenders, order, "bids", "tenderers", amount, rule)
 
 
-def tender_row(tenders: DataFrame, drop_empty: bool = True, item_texts: int | None = 3) -> DataFrame:
+def tender_row(tenders: DataFrame, drop_empty: bool = True, item_texts: int | None = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """One flat row per tender: the first ``item_texts`` item texts (None: all), sorted class codes, buyer fields.
 
     ``drop_empty`` is the text-search form (empty item texts and codes left out, wider fallbacks,
-    full-match address); without it the class-code form.
+    full-match address); without it the class-code form. ``keep`` names input columns carried along.
     """
     p = "procuringEntity"
     items = F.col("items")
@@ -111,12 +111,15 @@ def tender_row(tenders: DataFrame, drop_empty: bool = True, item_texts: int | No
         F.when(E.email_ok(email, rule), email).otherwise("").alias("email"),
         T.strip(_text(f"{p}.contactPoint.telephone")).alias("phone"),
         _text(f"{p}.address.locality").alias("city"), _text(f"{p}.address.region").alias("region"),
-        url.alias("url"),
+        url.alias("url"), *keep,
     )
 
 
-def contract_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL) -> DataFrame:
-    """Buyer fields, first supplier, amount and signing day of each contract (unfiltered)."""
+def contract_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Buyer fields, first supplier, amount and signing day of each contract (unfiltered).
+
+    ``keep`` names input columns carried along.
+    """
     cid = _first_filled("contractID", "id")
     email = T.strip(_text("buyer.contactPoint.email"))
     supplier = F.get("suppliers", F.lit(0))
@@ -131,7 +134,7 @@ def contract_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL) -> Data
         T.strip(_text("buyer.contactPoint.telephone")).alias("phone"),
         _text("buyer.address.locality").alias("city"), _text("buyer.address.region").alias("region"),
         _text("status").alias("status"),
-        F.when(cid != "", F.concat(F.lit(R.CONTRACT_URL), cid)).otherwise("").alias("url"),
+        F.when(cid != "", F.concat(F.lit(R.CONTRACT_URL), cid)).otherwise("").alias("url"), *keep,
     )
 
 

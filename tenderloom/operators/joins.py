@@ -78,16 +78,26 @@ def counterparty_contacts(counterparties: DataFrame, register: DataFrame, key: s
     return with_lines.unionByName(without, allowMissingColumns=True)
 
 
-def attach_verified(base: DataFrame, verified: DataFrame, name_col: str, columns, order,
-                    verified_name: str | None = None) -> DataFrame:
-    """Verified columns by normalised name; the first verified row per name wins.
+def verified_lookup(verified: DataFrame, name_col: str, columns, order) -> DataFrame:
+    """Normalised name (``_name``) to the ``columns`` of the first verified row with it."""
+    present = [c for c in columns if c in verified.columns]
+    keyed = verified.withColumn("_name", T.norm_name(name_col))
+    rows = keyed.select("_name", *present, *[c for c in order if c not in present])
+    return first_wins(rows, ["_name"], order).select("_name", *present)
+
+
+def attach_lookup(base: DataFrame, lookup: DataFrame, name_col: str) -> DataFrame:
+    """Columns of a :func:`verified_lookup` by normalised name.
 
     A blank name matches a blank name, so "" is a likely hot key and is salted.
     """
-    present = [c for c in columns if c in verified.columns]
-    keyed = verified.withColumn("_name", T.norm_name(verified_name or name_col))
-    lookup = first_wins(keyed.select("_name", *present, *[c for c in order if c not in present]), ["_name"], order)
-    return lookup_join(base, lookup, T.norm_name(name_col), "_name", {c: c for c in present}, hot=("",))
+    return lookup_join(base, lookup, T.norm_name(name_col), "_name", {c: c for c in lookup.columns[1:]}, hot=("",))
+
+
+def attach_verified(base: DataFrame, verified: DataFrame, name_col: str, columns, order,
+                    verified_name: str | None = None) -> DataFrame:
+    """Verified columns by normalised name; the first verified row per name wins."""
+    return attach_lookup(base, verified_lookup(verified, verified_name or name_col, columns, order), name_col)
 
 
 def client_sales_left(clients: DataFrame, summary: DataFrame, key: str = "counterparty") -> DataFrame:

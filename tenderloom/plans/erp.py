@@ -83,11 +83,17 @@ def erp_registry_fill(df: DataFrame, registry: DataFrame, statuses: DataFrame) -
 
 
 def erp_segment(bases: dict[str, tuple[DataFrame, DataFrame]], columns, order,
-                rules: R.OrderRules = R.OrderRules()) -> dict[str, DataFrame]:
-    """Per base: verified contacts by name, order class; then all bases in one table."""
-    done = {}
+                rules: R.OrderRules = R.OrderRules(), store=None) -> dict[str, DataFrame]:
+    """Per base: verified contacts by name, order class; then all bases in one table.
+
+    Bases that share a table of verified contacts share its lookup, which ``store`` keeps.
+    """
+    done, lookups = {}, {}
     for label, (base, verified) in bases.items():
-        merged = J.attach_verified(base, verified, "counterparty", columns, order, "counterparty")
+        if id(verified) not in lookups:
+            lookup = J.verified_lookup(verified, "counterparty", columns, order)
+            lookups[id(verified)] = store(lookup) if store else lookup
+        merged = J.attach_lookup(base, lookups[id(verified)], "counterparty")
         done[label] = merged.withColumn("_c", C.order_class("client_group", "main_group", "ops", rules)).select(
             *merged.columns, "_c.*")
     return {**done, "master": union_superset(done)}

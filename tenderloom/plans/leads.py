@@ -43,14 +43,18 @@ def _deduped(portal: DataFrame, registry: DataFrame, labels, rule: R.EmailRule,
     return D.lead_dedup(both, ORDER)
 
 
-def school_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT, store=None):
+def school_leads(portal: DataFrame, registry: DataFrame, rule: R.EmailRule = R.EMAIL_STRICT, store=None,
+                 ordered: bool = True):
     """(leads with an address, leads without), portal records before registry ones.
 
-    ``store`` (such as ``session.stored``) keeps the shared rows when both results are written.
+    ``store`` (such as ``session.stored``) keeps the shared rows when both results are written;
+    ``ordered``: both are sorted, which is wasted where rows are only read on.
     """
     rows = _deduped(portal, registry, (R.SCHOOL_PORTAL, R.SCHOOL_REGISTRY), rule, False).withColumn(
         "priority", P.priority_school("email", "phone", "director", "org_id"))
     main, rest = split_by_priority(store(rows) if store else rows)
+    if not ordered:
+        return main, rest
     return sort_leads(main, ["priority", "name"], "pos"), sort_leads(rest, ["name"], "pos")
 
 

@@ -8,7 +8,7 @@ from .. import rules as R
 from ..functions import text as T
 from ..operators import dedup as D, flatten as X
 from ..operators.aggregates import coverage, distinct_parties
-from ..operators.filters import contract_keep, strict_profile, tender_profile, tender_profile_coded
+from ..operators.filters import contract_keep, profile_ok, strict_profile, tender_profile_coded
 from ..operators.joins import domain_status, tenders_semi
 from ..operators.sets import sort_amount_desc
 
@@ -40,39 +40,60 @@ def _with_domain_label(df: DataFrame, statuses: DataFrame, rule: R.EmailRule) ->
     return checked.withColumn("domain_label", F.when(F.col("active"), R.DOMAIN_ACTIVE_LABEL).otherwise("")).drop("active")
 
 
-def target_tenders(found: DataFrame, statuses: DataFrame, rules: R.TenderRules = R.TENDER_SEARCH) -> DataFrame:
-    """Tenders found by text queries (with query_rank, pos): one per id, profile, domain flag."""
+#: Columns that say which of several finds of a document comes first.
+FOUND = ("query_rank", "pos")
+
+
+def _unique(flat: DataFrame, key: str) -> DataFrame:
+    """One flat row per document found by several queries; nested documents never reach this shuffle."""
+    return D.dedup_by_id_across_queries(flat, key, *FOUND).drop(key, *FOUND)
+
+
+def target_tenders(found: DataFrame, statuses: DataFrame, rules: R.TenderRules = R.TENDER_SEARCH, ordered: bool = True) -> DataFrame:
+    """Tenders found by text queries (with query_rank, pos): one per id, profile, domain flag.
+
+    The first find of a tender decides, so the profile is a flag until one find per tender is left.
+    ``ordered``: sorted by amount; leave it out where rows are only read on.
+    """
     tid = F.coalesce(T.empty_to_null("tenderID"), T.empty_to_null("id"))
-    unique = D.dedup_by_id_across_queries(found.withColumn("_tid", tid), "_tid", "query_rank", "pos")
-    rows = X.tender_row(tender_profile(unique, rules), drop_empty=True)
-    return sort_amount_desc(_with_domain_label(rows, statuses, R.EMAIL_FULL), "amount", "tender_id")
+    keyed = found.withColumns({"_tid": tid, "_ok": profile_ok(rules)})
+    rows = _unique(X.tender_row(keyed, drop_empty=True, keep=("_tid", "_ok", *FOUND)), "_tid").filter("_ok").drop("_ok")
+    rows = _with_domain_label(rows, statuses, R.EMAIL_FULL)
+    return sort_amount_desc(rows, "amount", "tender_id") if ordered else rows
 
 
-def coded_tenders(found: DataFrame, statuses: DataFrame, code_col: str, rules: R.TenderRules = R.TENDER_CODED) -> DataFrame:
+def coded_tenders(found: DataFrame, statuses: DataFrame, code_col: str, rules: R.TenderRules = R.TENDER_CODED,
+                  ordered: bool = True) -> DataFrame:
     """Tenders found by class code; a secondary code also needs an allowed word.
 
-    A tender found under several codes is kept when any of them lets it pass.
+    A tender found under several codes is kept when any of them lets it pass. ``ordered``: sorted by amount.
     """
-    passed = tender_profile_coded(found, code_col, rules)
-    unique = D.dedup_by_id_across_queries(passed, "id", "query_rank", "pos")
-    rows = X.tender_row(unique, drop_empty=False)
-    return sort_amount_desc(_with_domain_label(rows, statuses, R.EMAIL_PREFIX), "amount", "tender_id")
+    passed = tender_profile_coded(found, code_col, rules).withColumn("_id", F.col("id"))
+    rows = _unique(X.tender_row(passed, drop_empty=False, keep=("_id", *FOUND)), "_id")
+    rows = _with_domain_label(rows, statuses, R.EMAIL_PREFIX)
+    return sort_amount_desc(rows, "amount", "tender_id") if ordered else rows
+
 
+def contracts(found: DataFrame, statuses: DataFrame, store=None, ordered: bool = True) -> dict[str, DataFrame]:
+    """Signed contracts with buyer and winner, and the number of distinct parties.
 
-def contracts(found: DataFrame, statuses: DataFrame, store=None) -> dict[str, DataFrame]:
-    """Signed contracts with buyer and winner, and the number of distinct parties."""
+    ``ordered``: contracts are sorted by amount; leave it out where rows are only read on.
+    """
     cid = F.coalesce(T.empty_to_null("contractID"), T.empty_to_null("id"))
-    unique = D.dedup_by_id_across_queries(found.withColumn("_cid", cid), "_cid", "query_rank", "pos")
-    rows = _with_domain_label(contract_keep(X.contract_row(unique)), statuses, R.EMAIL_FULL)
+    unique = _unique(X.contract_row(found.withColumn("_cid", cid), keep=("_cid", *FOUND)), "_cid")
+    rows = _with_domain_label(contract_keep(unique), statuses, R.EMAIL_FULL)
     rows = store(rows) if store else rows
     return {
-        "contracts": sort_amount_desc(rows, "amount", "contract_id"),
+        "contracts": sort_amount_desc(rows, "amount", "contract_id") if ordered else rows,
         "parties": distinct_parties(rows, {"supplier_name": "winners", "buyer_name": "buyers"}),
     }
 
 
 def supplier_contacts(found: DataFrame, statuses: DataFrame, store=None) -> dict[str, DataFrame]:
-    """Most complete contact row of each supplier over the distinct contracts found."""
+    """Most complete contact row of each supplier over the distinct contracts found.
+
+    Of a contract's suppliers the first counts, as in :func:`contracts`; the others are not read.
+    """
     unique = D.dedup_by_id_across_queries(found, "id", "query_rank", "pos")
     best = D.dedup_most_complete(
         X.supplier_contact_row(unique), "supplier_name", ["email", "phone"], ["contract_id"])
