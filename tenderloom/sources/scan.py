@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,27 +59,31 @@ def _file_path():
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _headers(spark: SparkSession, root: str) -> list[tuple[str, list[str]]]:
-    """Distinct header lines with their files, found in one distributed pass.
+def csv_headers(spark: SparkSession, root: str) -> list[tuple[list[str], list[str]]]:
+    """Column names and files of every distinct header line below ``root``, found in one distributed pass.
 
-    Only file names and header lines reach the driver, as in any file listing.
+    The pass reads all lines; only file names and header lines reach the driver, as in any file listing.
     """
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(root)
     first = lines.filter(F.col("_metadata.file_block_start") == 0).select(
         _file_path().alias("file"), "value", F.monotonically_increasing_id().alias("n")
     ).groupBy("file").agg(F.min_by("value", "n").alias("header"))
-    return [(r.header, list(r.files)) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
+    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    return [(next(csv.reader([r.header.lstrip("\ufeff")]), []), list(r.files)) for r in groups]
 
 
-def scan_csv_aliased(spark: SparkSession, root: str, aliases=S.CSV_ALIASES, label: str = "Email Catalog") -> DataFrame:
+def scan_csv_aliased(spark: SparkSession, root: str, aliases=S.CSV_ALIASES, label: str = "Email Catalog",
+                     headers: list[tuple[list[str], list[str]]] | None = None) -> DataFrame:
     """All CSV files below ``root`` as (email, org_id, name, phone, source).
 
     Header spellings are matched without regard to case; files without an e-mail column are
-    skipped; the source names the parent folder. Files with equal headers share one scan.
+    skipped; the source names the parent folder. Files with equal headers share one scan. ``headers`` declares
+    the groups (column names, files, folders or globs), so that nothing is read to find them; by default
+    :func:`csv_headers` does.
     """
     parts = []
-    for header, files in _headers(spark, root):
-        names = [h.strip().strip('"').lstrip("﻿") for h in header.split(",")]
+    for columns, files in csv_headers(spark, root) if headers is None else headers:
+        names = [h.strip().lstrip("\ufeff") for h in columns]
         lower = {n.lower(): i for i, n in enumerate(names)}
         picked = {out: next((lower[a] for a in options if a in lower), None) for out, options in aliases.items()}
         if picked["email"] is None:

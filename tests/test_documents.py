@@ -100,6 +100,19 @@ def test_supplier_job_keeps_the_most_complete(spark):
     assert out["coverage"].first().with_email == 1
 
 
+def test_first_find_decides_and_only_flat_rows_are_shuffled(spark):
+    good = {"id": "a", "tenderID": "T-1", "title": "Атлас", "value": {"amount": 5000.0}, "items": [{"description": "x"}], "procuringEntity": party("Ліцей")}
+    d = docs(spark, [{**good, "title": "КАРТРИДЖ"}, good, {**good, "tenderID": "T-2"}])
+    d = d.withColumn("query_rank", F.lit(0)).withColumn("pos", F.col("doc"))
+    st = spark.createDataFrame([("up.org", True)], "domain string, active boolean")
+    assert [r.tender_id for r in P.target_tenders(d, st).collect()] == ["T-2"]  # the first find of T-1 is denied
+    plan = P.target_tenders(d, st, ordered=False)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "rangepartitioning" in P.target_tenders(d, st)._jdf.queryExecution().executedPlan().toString()
+    window = P.target_tenders(d, st, ordered=False)._jdf.queryExecution().optimizedPlan().toString()
+    above = window[:window.index("Window")]
+    assert "items" not in above and "procuringEntity" not in above
+
+
 def test_projections(spark):
     c = spark.createDataFrame([("1", "A", None, 1, 5.0), ("2", None, " B", 0, None), ("3", None, None, None, 9.0)], "customer_id string, firstname string, lastname string, newsletter int, orders_total double")
     for name in ("email", "telephone", "orders_completed", "last_order_date", "date_added"):

@@ -37,6 +37,13 @@ def test_aliased_csv(spark, tmp_path):
     assert scan.scan_csv_aliased(spark, str(tmp_path / "two"), label="L").filter("source like 'L%'").count() == 1
 
 
+def test_aliased_csv_with_quoted_and_declared_headers(spark, tmp_path):
+    write(tmp_path / "one", "a.csv", '"Name, full",Name,"Email"\n"x, y",A,a@x\n')
+    assert [tuple(r) for r in scan.scan_csv_aliased(spark, str(tmp_path)).collect()] == [("a@x", "", "A", "", "Email Catalog (one)")]
+    declared = [(["Name, full", "name", "EMAIL"], [str(tmp_path / "one")]), (["name"], [str(tmp_path / "none")])]
+    assert [r.email for r in scan.scan_csv_aliased(spark, str(tmp_path), headers=declared).collect()] == ["a@x"]
+
+
 def test_page_parts(spark, tmp_path):
     for n in (1, 2, 10):
         write(tmp_path, f"page_{n}.csv", f"name,address,phone,email\nn{n},a,p,e\n")
