@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import valid_vectors
 
 STEP = 8
@@ -71,6 +72,7 @@ def exact_topk(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1
     """
     rows = valid_vectors(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")), "v", True)
     rows = rows.filter(F.col("vec_id").isNotNull()).select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * scale)).alias("v"))
+    rows = stored(rows.dropDuplicates(["vec_id", "v"]), "rows")  # before any group keeps its k best
     is_query = F.col("vec_id") % every == 0
     size = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q"), F.max(F.size("v")).alias("dim")).first()
     g, h = max(1, math.ceil(size["n"] / rows_per_group)), max(1, math.ceil(size["q"] / queries_per_group))
@@ -100,4 +102,4 @@ def exact_topk(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1
     columns = ["vec_id", "v", "g", "h", "ask"]
     found = data.select(*columns).union(asked.select(*columns)).groupBy("g", "h").applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.dropDuplicates().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -199,6 +199,20 @@ def test_vector_searches_on_odd_rows(spark):
     assert ann.nearest(df.filter("1 = 0")).count() == 0 and topk.exact_topk(df.filter("1 = 0")).count() == 0
 
 
+def test_op3_repeated_rows_take_no_places(spark):
+    random = np.random.default_rng(8)
+    v = random.normal(size=(60, 8)).astype(np.float32)
+    v[0, 7] = 0
+    v[7], v[9] = 4 * v[0], 3 * v[0]
+    ids, v = np.append(np.arange(60), 9), np.vstack([v, v[9]])
+    v[60, 7] = 1  # id 9 has two different vectors of one score, as the SQL counts them
+    rows = [(int(i), x.tolist()) for i, x in zip(ids, v)]
+    rows += [rows[7]] * 14 + [rows[0]] * 3  # the best row of query 0, repeated more than k times in the only group
+    want = exact(ids, np.floor(1024 * v.astype(np.float64)), 100, 10)[0]
+    got = topk.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("query_id", "rank").collect()
+    assert [(r["vec_id"], float(r["score"])) for r in got] == want and [i for i, _ in want[:3]] == [7, 9, 9]
+
+
 def test_op4_article(spark, con):
     import html
 
