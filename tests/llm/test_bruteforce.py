@@ -360,6 +360,58 @@ def test_simhash_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and Counter(r["doc_id"] for r in kept.collect())[12] == 1
 
 
+def similar_components(texts, least=0.8):
+    """Brute force over every pair: components of five-word Jaccard similarity, by position."""
+    words = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) for t in texts]
+    sets = [{b" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if min(len(a), len(b)) >= least * max(len(a), len(b)) and (a == b or len(a & b) >= least * len(a | b)):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_stage_removes_near_copies_like_brute_force(spark, con):
+    docs = sorted(con.execute("select doc_id, text from documents").fetchall())
+    parts = similar_components([t for _, t in docs])
+    want = {i for n, (i, _) in enumerate(docs) if parts[n] == n}
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    out = corpus_pipeline.one_of_near_duplicates(spark, df, SF)
+    assert out.columns == df.columns and sorted(r["doc_id"] for r in out.collect()) == sorted(want)
+    assert len(want) < len({t for _, t in docs})  # some that are no exact copies go
+
+
+def test_stage_joins_chains_and_families(spark, odd, none):
+    random = np.random.default_rng(4)
+    base = [f"w{x}" for x in random.integers(0, 5000, 120)]
+    rows = [(10_000 + n, " ".join(base)) for n in range(40)]
+    for n in range(300):  # a family of edits near the threshold: some only reach it over others
+        w = list(base)
+        for at in random.integers(0, 120, random.integers(1, 6)):
+            w[at] = f"x{random.integers(0, 3)}"
+        rows.append((int(n * 7 % 300), " ".join(w)))
+    for n in range(60):  # a chain, each link near only to the next; both kinds share many shingles
+        rows.append((500 + n, " ".join(base[:40] + [f"c{i}" for i in range(n * 4, n * 4 + 120)])))
+    rows += [(600, None), (601, ""), (602, "one two"), (603, "ONE\ttwo"), (604, "one two three")]
+    rows.sort()
+    parts = similar_components([t for _, t in rows])
+    want = {i for n, (i, _) in enumerate(rows) if parts[n] == n}
+    out = corpus_pipeline.one_of_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert {r["doc_id"] for r in out.collect()} == want
+    assert corpus_pipeline.one_of_near_duplicates(spark, none, SF).count() == 0
+    kept = corpus_pipeline.one_of_near_duplicates(spark, odd, SF)
+    assert kept.columns == odd.columns and Counter(r["doc_id"] for r in kept.collect())[12] == 1
+
+
 def encoded(name, text):
     return np.array(Tokenizer.from_file(vocabulary(name)).encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
