@@ -94,7 +94,7 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ip = F.filter(when(digit & F.contains(text, F.lit(".")), _found(text, IP, 1)), lambda x: x["hit"].rlike(IP_PARTS))
     card = F.filter(when(digit, _found(text, CARD, 2)), lambda x: _between(F.length(_digits(x["hit"])), 12, 19) & F.call_function("luhn_check", _digits(x["hit"])))
     phone = F.filter(when(F.contains(text, F.lit("+")), _found(text, PHONE, 3)), lambda x: _between(F.length(_digits(x["hit"])), 9, 15))
-    spelled = when(F.contains(text, F.lit("dot")) | F.contains(text, F.lit("DOT")), _found(text, SPELLED, 0))
+    spelled = when(text.rlike("(?i)dot"), _found(text, SPELLED, 0))
     numbers = when(digit, _found(text, NUMBERS, lambda hit: F.when(F.contains(hit, F.lit(":")), 1).when(
         F.length(_digits(hit)) == 16, 2).otherwise(3)))
     out = docs.withColumn("_base", F.array_sort(F.concat(email, ip, card, phone))).withColumn("_more", F.concat(spelled, numbers))

@@ -110,6 +110,12 @@ def test_op1_long_runs(odd):
     assert rows[10]["spans"].startswith("email:0:") and rows[11]["spans"] == ""
 
 
+def test_op1_spelled_candidates_in_any_case(spark):
+    rows = [(n, f"write to jane [at] example [{dot}] com") for n, dot in enumerate(["dot", "DOT", "Dot", "dOT"])]
+    found = pii.with_spans(spark.createDataFrame(rows, "doc_id long, text string")).select("_more").collect()
+    assert [[x["hit"] for x in r["_more"]] for r in found] == [[t[len("write to "):]] for _, t in rows]
+
+
 def test_pii_redaction(spark, odd):
     out = pii.redact(odd).collect()
     assert len(out) == len(ODD) and pii.redact(odd).columns == odd.columns
