@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mixing, packing, pii, quality, sharding, simhash, tokenfile, topk, webtext
+from . import ann, divergence, mixing, packing, pii, quality, sharding, simhash, tokenfile, topk, webtext
 from .common import table
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -65,10 +65,15 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii, "op2_nearest": op2_nearest, "op3_exact_topk": op3_exact_topk, "op4_html_text": op4_html_text,
     "op5_mix_sources": op5_mix_sources, "op6_simhash": op6_simhash, "op7_token_files": op7_token_files,
     "op8_packing": op8_packing, "op9_byte_shards": op9_byte_shards, "op10_quality": op10_quality,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: SQL for those that SQL can express: the exact search and the mix. The others rest on hashes, tokenizers or models that
@@ -118,4 +123,27 @@ r5 as (select *, not sampled and size < 2 * gap and row_number() over (
 select r2.doc_id, r2.size, r2.source_size, r2.target,
        (r2.size * (r2.whole + coalesce((r5.sampled or r5.closes)::int, 0)))::bigint as taken
 from r2 left join r5 on r2.doc_id = r5.doc_id""",
+    "op13_source_divergence": r"""
+with d as (select row_number() over () as row, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+t as (select lang, source, row, unnest(list_transform(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
+             lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) as term from d),
+kept as (select lang, term, count(*)::hugeint as lang_n from t group by lang, term having count(distinct row) >= 30),
+size as (select lang, count(*)::hugeint as v, sum(lang_n)::hugeint as lang_total from kept group by lang),
+g as (select distinct lang, source from d),
+c as (select t.lang, t.source, t.term, count(*)::hugeint as n from t join kept on t.lang = kept.lang and t.term = kept.term group by all),
+total as (select lang, source, sum(n)::hugeint as total from c group by lang, source),
+p as (select g.lang, g.source, kept.term, coalesce(c.n, 0) as n,
+             1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (coalesce(total.total, 0) + 5 * size.v) as p,
+             1 + (1000000000::hugeint * (lang_n + 5)) // (lang_total + 5 * size.v) as q
+      from g join kept on g.lang = kept.lang join size on g.lang = size.lang
+      left join c on c.lang = g.lang and c.source = g.source and c.term = kept.term
+      left join total on total.lang = g.lang and total.source = g.source),
+f as (select g.lang, g.source, 'pair' as part, o.source as item, coalesce((
+             select sum(abs(a.p - b.p)) from p a join p b on a.lang = b.lang and a.term = b.term
+             where a.lang = g.lang and a.source = g.source and b.source = o.source), 0)::bigint as value
+      from g join g o on g.lang = o.lang and g.source <> o.source
+      union all
+      select lang, source, 'term', term, (p - q)::bigint from p where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from f)
+select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 50""",
 }
