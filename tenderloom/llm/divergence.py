@@ -16,7 +16,6 @@ All arithmetic is on integers.
 
 from __future__ import annotations
 
-import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, divergence, mixing, packing, pii, quality, sharding, simhash, tokenfile, topk, webtext
+from . import ann, codebook, divergence, mixing, packing, pii, quality, sharding, simhash, tokenfile, topk, webtext
 from .common import table
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -65,6 +65,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codebook.compress(table(spark, sf, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"))
 
@@ -73,9 +77,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii, "op2_nearest": op2_nearest, "op3_exact_topk": op3_exact_topk, "op4_html_text": op4_html_text,
     "op5_mix_sources": op5_mix_sources, "op6_simhash": op6_simhash, "op7_token_files": op7_token_files,
     "op8_packing": op8_packing, "op9_byte_shards": op9_byte_shards, "op10_quality": op10_quality,
-    "op13_source_divergence": op13_source_divergence,
+    "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence,
 }
 
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """One pair of steps, nearest entries and their means, for every round."""
+    def nearest(turn: int) -> str:
+        return f"""a{turn} as (
+    select row, m, v, least_of.d as d, least_of.j as j from (
+        select row, m, any_value(v) as v, min({{'d': d, 'j': j}}) as least_of from (
+            select p.row, p.m, p.v, b.j, list_sum(list_transform(list_zip(p.v, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint as d
+            from p join b{turn} b on b.m = p.m) group by row, m))"""
+
+    def means(turn: int) -> str:
+        width = "(select max(len(v)) from p)"
+        return f"""s{turn} as (
+    select m, j, i, count(*) as n, sum(v[i])::bigint as s from a{turn - 1}, range(1, {width} + 1) t(i) group by m, j, i),
+b{turn} as (
+    select b.m, b.j, coalesce(n.c, b.c) as c from b{turn - 1} b left join (
+        select m, j, list((s - ((s % n) + n) % n) // n order by i) as c from s{turn} group by m, j) n on n.m = b.m and n.j = b.j)"""
+
+    steps = [nearest(0)]
+    for turn in range(1, rounds + 1):
+        steps += [means(turn), nearest(turn)]
+    return f"""
+with e as materialized (
+    select row_number() over () as row, vec_id, label, list_transform(embedding, lambda x: floor({codebook.SCALE} * x::double)::bigint) as v
+    from embeddings where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select row, m, v[m * (len(v) // {parts}) + 1:(m + 1) * (len(v) // {parts})] as v from e, range({parts}) t(m)),
+f as (select row, (row_number() over (order by vec_id) - 1)::int as j from (
+    select min(row) as row, vec_id from e where vec_id is not null group by vec_id) order by j limit {entries}),
+b0 as (select p.m, f.j, p.v as c from p join f on p.row = f.row),
+{", ".join(s.replace(" as (", " as materialized (", 1) for s in steps)},
+x as (select e.row, vec_id, label, string_agg(lpad(lower(to_hex(j)), 2, '0'), '' order by m) as code, sum(d)::bigint as error
+      from a{rounds} a join e on e.row = a.row group by e.row, vec_id, label)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       (select sha256(string_agg(array_to_string(c, ','), ',' order by m, j)) from b{rounds}) as codebooks_sha256 from x"""
+
+
 #: SQL for those that SQL can express: the exact search and the mix. The others rest on hashes, tokenizers or models that
 #: it lacks and are tested against brute force, a round trip or held-out labels.
 ORACLE = {
@@ -123,6 +163,7 @@ r5 as (select *, not sampled and size < 2 * gap and row_number() over (
 select r2.doc_id, r2.size, r2.source_size, r2.target,
        (r2.size * (r2.whole + coalesce((r5.sampled or r5.closes)::int, 0)))::bigint as taken
 from r2 left join r5 on r2.doc_id = r5.doc_id""",
+    "op12_vector_codes": _vector_codes_sql(),
     "op13_source_divergence": r"""
 with d as (select row_number() over () as row, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
 t as (select lang, source, row, unnest(list_transform(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'),
