@@ -19,8 +19,8 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,29 +93,32 @@ def share(count: Column, total: Column, terms: Column) -> Column:
     return F.call_function("div", above, exact(total + SMOOTHING * terms)) + F.lit(1).cast("long")
 
 
-def _unit_distances(rows: pd.DataFrame) -> pd.DataFrame:
+def _unit_distances(unit: pa.Table) -> pa.Table:
     """Partial distances of the pairs of sources of one unit: ``part`` over the ``used`` terms of the unit."""
     import numpy as np
 
-    is_source = rows["term"].isna().to_numpy()
-    heads, cells = rows[is_source], rows[~is_source]
-    order = np.argsort(heads["source"].to_numpy(), kind="stable")
-    names, bare, block = (heads[c].to_numpy()[order] for c in ("source", "share", "block"))
-    terms, column = np.unique(cells["term"].to_numpy().astype(str), return_inverse=True) if len(cells) else (np.zeros(0), np.zeros(0, np.int64))
-    shares = np.repeat(bare.astype(np.int64)[:, None], len(terms), axis=1)
-    at = {s: n for n, s in enumerate(names)}
-    shares[np.fromiter((at[s] for s in cells["source"]), np.int64, len(cells)), column] = cells["share"].to_numpy(np.int64)
-    first, second = rows["first"].iloc[0], rows["second"].iloc[0]
-    out = []
+    lang, first, second = (unit.column(c)[0].as_py() for c in ("lang", "first", "second"))
+    is_source = unit.column("term").is_null()
+    heads, cells = unit.filter(is_source).sort_by("source"), unit.filter(pc.invert(is_source))
+    names = heads.column("source").to_pylist()
+    bare, block = (heads.column(c).to_numpy() for c in ("share", "block"))
+    terms = pc.unique(cells.column("term"))
+    row = pc.index_in(cells.column("source"), heads.column("source").combine_chunks()).to_numpy()
+    column = pc.index_in(cells.column("term"), terms).to_numpy()
+    shares = np.repeat(bare[:, None], len(terms), axis=1)
+    shares[row, column] = cells.column("share").to_numpy()
+    found: dict = {"a": [], "b": [], "part": [], "bare": []}
     for i in range(len(names)):
         # inside one block each pair once, over two blocks every source of the one with every one of the other
         others = np.arange(i + 1, len(names)) if first == second else np.flatnonzero(block == second) if block[i] == first else []
         if len(others):
-            out.append(pd.DataFrame({
-                "lang": rows["lang"].iloc[0], "a": names[i], "b": names[others], "part": np.abs(shares[others] - shares[i]).sum(axis=1),
-                "used": len(terms), "bare": np.abs(bare[others].astype(np.int64) - int(bare[i]))}))
-    columns = ["lang", "a", "b", "part", "used", "bare"]
-    return pd.concat(out, ignore_index=True)[columns] if out else pd.DataFrame({c: [] for c in columns}).astype({c: "int64" for c in columns[3:]})
+            found["a"] += [names[i]] * len(others)
+            found["b"] += [names[j] for j in others]
+            found["part"] += np.abs(shares[others] - shares[i]).sum(axis=1).tolist()
+            found["bare"] += np.abs(bare[others] - bare[i]).tolist()
+    n = len(found["a"])
+    return pa.table({"lang": pa.array([lang] * n, pa.string()), "a": pa.array(found["a"], pa.string()), "b": pa.array(found["b"], pa.string()),
+                     "part": pa.array(found["part"], pa.int64()), "used": pa.array([len(terms)] * n, pa.int64()), "bare": pa.array(found["bare"], pa.int64())})
 
 
 def _pairs(groups: DataFrame, cells: DataFrame, sources_per_block: int, terms_per_block: int) -> DataFrame:
@@ -130,7 +133,7 @@ def _pairs(groups: DataFrame, cells: DataFrame, sources_per_block: int, terms_pe
         "lang", "source", "term", "share", "blocks", block.alias("block"), F.pmod(F.xxhash64("term", F.lit(1)), F.col("slices")).cast("int").alias("slice"))
     dealt = heads.union(parts).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "lang", "source", "term", "share", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "slice")
-    units = dealt.groupBy("lang", "first", "second", "slice").applyInPandas(
+    units = dealt.groupBy("lang", "first", "second", "slice").applyInArrow(
         _unit_distances, "lang string, a string, b string, part long, used long, bare long")
     whole = units.groupBy("lang", "a", "b").agg(F.sum("part").alias("part"), F.sum("used").alias("used"), F.first("bare").alias("bare"))
     vocabulary = groups.select("lang", "terms").distinct()

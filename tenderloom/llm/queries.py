@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, codebook, divergence, mixing, packing, pii, quality, sharding, simhash, tokenfile, topk, webtext
+from . import ann, codebook, divergence, mixing, packing, pii, quality, secretscan, sharding, simhash, tokenfile, topk, webtext
 from .common import table
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -65,6 +65,10 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secretscan.find_secrets(table(spark, sf, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     return codebook.compress(table(spark, sf, "embeddings")).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
@@ -77,7 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii, "op2_nearest": op2_nearest, "op3_exact_topk": op3_exact_topk, "op4_html_text": op4_html_text,
     "op5_mix_sources": op5_mix_sources, "op6_simhash": op6_simhash, "op7_token_files": op7_token_files,
     "op8_packing": op8_packing, "op9_byte_shards": op9_byte_shards, "op10_quality": op10_quality,
-    "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence,
+    "op11_secrets": op11_secrets, "op12_vector_codes": op12_vector_codes, "op13_source_divergence": op13_source_divergence,
 }
 
 
