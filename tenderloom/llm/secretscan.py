@@ -33,7 +33,7 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 
 # --- fixed values: candidates ------------------------------------------------------------------------
 SENSITIVE = re.compile(r"(?ai)(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api|auth|authorization|bearer|basic|credentials?|cred|private|signing|"
-                       r"signature|session|cookie|login|access|account|client|encryption|[a-z]*_?key)(?![a-z])")
+                       r"signature|session|cookie|login|access|account|client|encryption|(?:[a-z]+_|api|access|secret|private|public)?key)(?![a-z])")
 SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "api", "auth", "bearer", "basic", "cred", "private", "sign", "session", "cookie", "login", "access", "account",
                    "client", "encryption", "key")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
