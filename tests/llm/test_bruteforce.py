@@ -552,8 +552,9 @@ def test_pipeline(spark, con, texts):
     scores = {r["doc_id"]: r["predicted"] for r in QUERIES["op10_quality"](spark, SF).collect()}
     assert set(kept) == {i for i, p in scores.items() if p}
     single = corpus_pipeline.one_of_near_duplicates(spark, good, SF)
-    parts = brute_components({i: brute_fingerprint(t) for i, t in kept.items()})
-    assert {r["doc_id"] for r in single.collect()} == {i for i, c in parts.items() if i == c} and single.columns == docs.columns
+    ids = sorted(kept)
+    parts = similar_components([kept[i] for i in ids])
+    assert {r["doc_id"] for r in single.collect()} == {i for n, i in enumerate(ids) if parts[n] == n} and single.columns == docs.columns
     clean = corpus_pipeline.without_personal_data(spark, single, SF)
     assert clean.columns == docs.columns and not any(base_spans(r["text"]) for r in clean.collect())
     mixed = corpus_pipeline.mixed_sources(spark, clean, SF)
