@@ -188,7 +188,7 @@ def _(spark, sf):
     for batch in (1, 2):  # two arrivals; the second run resumes from the checkpoint
         rows.filter(F.col("batch") == batch).write.mode("append").parquet(src)
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
-        feeds.stream_upsert(stream, log, state).awaitTermination()
+        feeds.stream_upsert(stream, log, state, _KEYS, ["batch", "seq"], merge_after=2).awaitTermination()
     return _listing_out(sink.read_upserted(spark, log, _KEYS, ["batch", "seq"]))
 
 

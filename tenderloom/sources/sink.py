@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.sets import upsert_latest
+from .upsertlog import compact, pending_batches, publish_upserted, read_upserted, vacuum, write_upsert_batch  # noqa: F401
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -72,30 +72,3 @@ def register_snapshot(spark: SparkSession, path, source_id: str, version: str, u
         F.lit(snapshot_id or f"snap_{source_id}_{uuid.uuid4().hex}").alias("snapshot_id"),
         F.lit(source_id).alias("source_id"), F.lit(version).alias("provider_version"), F.lit(url).alias("url"),
         "size_bytes", "record_count", F.current_timestamp().alias("downloaded_at"))
-
-
-# ------------------------------------------------------------------------------- upsert log
-# A parquet folder cannot be updated in place. Each batch is stored once, under the id of its query and
-# its own number, and readers merge: writing a batch again replaces exactly that batch, so a replay changes
-# nothing, and neither another batch nor a query with a new checkpoint rewrites it.
-def write_upsert_batch(df: DataFrame, root: str, batch_id: int, run: str = "0") -> None:
-    df.write.mode("overwrite").parquet(f"{root}/run={run}/batch_id={batch_id}")
-
-
-def read_upserted(spark: SparkSession, root: str, keys, order, ingest_time: str = "ingested_at") -> DataFrame:
-    """Current state of an upsert log: per key the last row over all queries.
-
-    Queries follow each other by their first ingest time; inside one the batch number, then ``order``, decides.
-    """
-    log = spark.read.parquet(root)
-    begun = log.groupBy("run").agg(F.min(ingest_time).alias("_begun"))  # one row per query
-    return upsert_latest(None, log.join(begun, "run"), keys, ["_begun", "run", "batch_id", *order], ingest_time).drop("batch_id", "run", "_begun")
-
-
-def publish_upserted(spark: SparkSession, root: str, target: str, keys, order) -> None:
-    """Writes the current state to a new folder, split by activity code when there is one."""
-    state = read_upserted(spark, root, keys, order)
-    writer = state.write.mode("errorifexists")
-    if "activity_code" in state.columns:
-        writer = writer.partitionBy("activity_code")
-    writer.parquet(target)

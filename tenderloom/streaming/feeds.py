@@ -11,7 +11,7 @@ from .. import rules as R
 from ..functions.priority import has
 from ..operators.filters import tender_target
 from ..sources import schemas as S
-from ..sources.sink import write_upsert_batch
+from ..sources import upsertlog
 
 
 def stream_new_matches(
@@ -36,15 +36,22 @@ def stream_new_matches(
     )
 
 
-def stream_upsert(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def stream_upsert(stream: DataFrame, root: str, checkpoint: str, keys=None, order=None, merge_after: int = 32,
+                  ingest_time: str = "ingested_at") -> StreamingQuery:
     """Stores each micro-batch once; ``read_upserted`` gives the merged state.
 
-    A batch is stored under the id of the streaming query, which lives in its checkpoint, and its number.
+    A batch is stored under the id of the streaming query, which lives in its checkpoint, and its number. With ``keys`` and
+    ``order`` every ``merge_after`` batches are merged, so what a reader opens stays bounded; a batch that is replayed after
+    its merge changes nothing.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_upsert_batch(batch, root, batch_id, run or hashlib.sha256(checkpoint.encode()).hexdigest())
+        spark = batch.sparkSession
+        run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        upsertlog.write_upsert_batch(batch, root, batch_id, run or hashlib.sha256(checkpoint.encode()).hexdigest())
+        if keys and upsertlog.pending_batches(spark, root) >= merge_after:
+            upsertlog.compact(spark, root, keys, order, ingest_time)
+            upsertlog.vacuum(spark, root)
 
     return (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderloom.session import scratch_dir, stored
-from tenderloom.sources import scan, schemas, sink
+from tenderloom.sources import scan, schemas, sink, upsertlog
 from tenderloom.streaming import feeds
 
 
@@ -119,3 +119,92 @@ def test_upsert_log_is_idempotent(spark, tmp_path):
     assert state() == {**want, "C": ("c", "d3", None)}
     sink.publish_upserted(spark, log, str(tmp_path / "out"), ["name", "activity_code"], ["seq"])
     assert (tmp_path / "out" / "activity_code=1").exists()
+
+
+KEY = ["k"]
+
+
+def _batch(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, v int, seq int, ingested_at string")
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def _files(path):
+    import os
+    return sorted(os.listdir(path)) if os.path.isdir(path) else []
+
+
+def test_compacted_log_reads_like_the_whole_one(spark, tmp_path):
+    log, plain = str(tmp_path / "log"), str(tmp_path / "plain")
+    for n in range(40):
+        run = "q2" if n % 5 == 4 else "q1"
+        df = _batch(spark, (f"k{n % 7}", n, 0, f"d{n:02d}"), (f"k{n % 3}", -n, 1, f"d{n:02d}"), (f"only{n}", n, 0, f"d{n:02d}"))
+        for root in (log, plain):
+            upsertlog.write_upsert_batch(df, root, n, run)
+        if n % 3 == 2:
+            upsertlog.compact(spark, log, KEY, ["seq"], fan=3)
+            upsertlog.vacuum(spark, log)
+            assert len(upsertlog._last_manifest(spark, log)["parts"]) <= 2 * 4  # two of each level at most
+    want = _rows(upsertlog.read_upserted(spark, plain, KEY, ["seq"]))
+    assert _rows(upsertlog.read_upserted(spark, log, KEY, ["seq"])) == want and len(want) == 7 + 40
+    assert upsertlog.pending_batches(spark, log) == 1 and upsertlog.pending_batches(spark, plain) == 40
+    assert len(_files(f"{log}/run=q1")) < 10  # what was taken in is gone
+
+
+def test_replay_after_a_merge_changes_nothing(spark, tmp_path):
+    log = str(tmp_path / "log")
+    first = _batch(spark, ("a", 1, 0, "d1"))
+    upsertlog.write_upsert_batch(first, log, 0)
+    upsertlog.write_upsert_batch(_batch(spark, ("a", 2, 0, "d2")), log, 1)
+    assert upsertlog.compact(spark, log, KEY, ["seq"]) == 2 and upsertlog.compact(spark, log, KEY, ["seq"]) == 0
+    upsertlog.vacuum(spark, log, keep=1)
+    upsertlog.write_upsert_batch(first, log, 0)  # the stream lost its progress and sends the batch again
+    assert _files(f"{log}/run=0") == []
+    assert _rows(upsertlog.read_upserted(spark, log, KEY, ["seq"])) == [("a", 2, 0, "d1", "d2")]
+
+
+def test_crashes_between_the_steps_of_a_merge(spark, tmp_path, monkeypatch):
+    import os
+
+    log = str(tmp_path / "log")
+    for n in range(3):
+        upsertlog.write_upsert_batch(_batch(spark, ("a", n, 0, f"d{n}"), (f"b{n}", n, 0, f"d{n}")), log, n)
+    want = _rows(upsertlog.read_upserted(spark, log, KEY, ["seq"]))
+
+    def state():
+        return _rows(upsertlog.read_upserted(spark, log, KEY, ["seq"]))
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:  # the part is written, the manifest is not
+        m.setattr(upsertlog, "_write_manifest", fail)
+        with pytest.raises(RuntimeError):
+            upsertlog.compact(spark, log, KEY, ["seq"])
+    assert state() == want and upsertlog.pending_batches(spark, log) == 3 and len(_files(f"{log}/parts")) == 1
+    os.makedirs(f"{log}/manifests")
+    with open(f"{log}/manifests/{0:012d}.json", "w") as f:  # a manifest torn in the middle
+        f.write('{"parts": [{"na')
+    assert state() == want
+    assert upsertlog.compact(spark, log, KEY, ["seq"]) == 3  # batches are still there: taken in, not yet removed
+    assert state() == want and len(_files(f"{log}/run=0")) == 3
+    os.makedirs(f"{log}/run=0/batch_id=9")  # a batch that never finished
+    assert state() == want
+    reader = upsertlog.read_upserted(spark, log, KEY, ["seq"])  # begins before the next merge
+    upsertlog.write_upsert_batch(_batch(spark, ("a", 7, 0, "d7")), log, 3)
+    upsertlog.compact(spark, log, KEY, ["seq"], fan=2)
+    upsertlog.vacuum(spark, log)
+    assert _rows(reader) == want
+    upsertlog.vacuum(spark, log, keep=1)
+    assert len(_files(f"{log}/parts")) == 1 and ("a", 7, 0, "d0", "d7") in state() and len(state()) == len(want)
+    with pytest.raises(Exception):  # a second process that took the same number
+        monkeypatch.setattr(upsertlog, "_manifest_numbers", lambda *_: [1])
+        upsertlog._write_manifest(spark, log, {})
+
+
+def test_ranges_of_batches():
+    assert upsertlog._with_batches([[0, 4], [9, 9]], [5, 8, 12]) == [[0, 5], [8, 9], [12, 12]]
+    assert upsertlog._with_batches([], list(range(1000))) == [[0, 999]]
