@@ -8,6 +8,8 @@ adaptive skew handling, which can do so because every lookup side is unique per
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules as R
@@ -146,37 +148,48 @@ def build_lookup_last_wins(sources: DataFrame, key: Column, order, rule=R.EMAIL_
     return _lookup(sources, key, [F.desc(c) for c in order], rule, min_len)
 
 
+def tiered_probe(keys: DataFrame, lookups: list[DataFrame]) -> DataFrame:
+    """For rows of one key per tier (null: none), the values of the first tier whose lookup knows its key.
+
+    ``keys`` has an ``_id`` that tells its rows apart and one column per lookup, named ``_0``, ``_1``, ...; each lookup has a
+    unique ``key`` and the same further columns. All tiers are one join: the keys of a row become narrow rows
+    (id, tier, key) that meet the union of the lookups, and the least tier found is taken per id.
+    """
+    values = [c for c in lookups[0].columns if c != "key"]
+    tiers = F.array(*[F.struct(F.lit(n).alias("tier"), F.col(f"_{n}").alias("key")) for n in range(len(lookups))])
+    probes = keys.select("_id", F.inline(F.filter(tiers, lambda t: t["key"].isNotNull())))
+    known = reduce(DataFrame.unionByName, [t.select(F.lit(n).alias("tier"), "key", *values) for n, t in enumerate(lookups)])
+    hits = probes.join(known, ["tier", "key"])
+    return hits.groupBy("_id").agg(F.min(F.struct("tier", *values)).alias("_hit")).select("_id", "_hit.*")
+
+
 def tiered_contact_match(df: DataFrame, by_id: DataFrame, by_name: DataFrame, by_phone: DataFrame,
                          rule: R.EmailRule = R.EMAIL_LOOSE_8) -> DataFrame:
     """Existing valid address, else by id, else by company name, else by phone.
 
-    A row with a valid address gets null keys, so it takes part in no lookup. Adds
-    ``found_email``, ``email_source`` and ``match_type``.
+    Rows with a valid address take part in no lookup. Of the others only their distinct combinations of keys are looked
+    up, however many rows share one; the table itself meets the answers in one join. Adds ``found_email``,
+    ``email_source`` and ``match_type``.
     """
     valid = E.email_ok("email", rule)
-    name_key = T.clean_company("name")
-    keys = {
-        "id": (by_id, T.clean_id("org_id"), 1),
-        "name": (by_name, name_key, 4),
-        "phone": (by_phone, T.phone_last9("phone"), 9),
-    }
-    out = df
-    for tier, (lookup, key, min_len) in keys.items():
-        usable = F.when(~valid & (F.length(key) >= min_len), key)
-        out = lookup_join(out, lookup, usable, "key", {"email": f"_{tier}_email", "source": f"_{tier}_source"})
-    source = F.coalesce("_id_source", "_name_source", "_phone_source")
-    match = (
-        F.when(valid, R.MATCH_EXISTING[1]).when(F.col("_id_email").isNotNull(), R.MATCH_ID)
-        .when(F.col("_name_email").isNotNull(), R.MATCH_NAME)
-        .when(F.col("_phone_email").isNotNull(), R.MATCH_PHONE).otherwise("")
-    )
+    tiers = [(by_id, T.clean_id("org_id"), 1), (by_name, T.clean_company("name"), 4), (by_phone, T.phone_last9("phone"), 9)]
+    keyed = df.withColumns({f"_{n}": F.when(~valid & (F.length(key) >= least), key) for n, (_, key, least) in enumerate(tiers)})
+    keys = [f"_{n}" for n in range(len(tiers))]
+    # a combination as one string; no key holds the separator, as all are cleaned
+    absent = F.lit("\u0001")
+    combined = F.concat_ws("\u0002", *[F.coalesce(k, absent) for k in keys])
+    keyed = keyed.withColumn("_id", F.when(F.coalesce(*keys).isNotNull(), combined))
+    asked = keyed.select("_id", *keys).filter(F.col("_id").isNotNull()).distinct()
+    answers = tiered_probe(asked, [lookup.select("key", "email", "source") for lookup, _, _ in tiers])
+    out = lookup_join(keyed, answers, F.col("_id"), "_id", {"tier": "_tier", "email": "_email", "source": "_source"}, salt_by=_narrow(df))
+    match = F.when(valid, R.MATCH_EXISTING[1])
+    for n, label in enumerate((R.MATCH_ID, R.MATCH_NAME, R.MATCH_PHONE)):
+        match = match.when(F.col("_tier") == n, label)
     return out.select(
         *df.columns,
-        F.when(valid, T.strip("email")).otherwise(
-            F.coalesce("_id_email", "_name_email", "_phone_email", F.lit(""))).alias("found_email"),
-        F.when(valid, R.MATCH_EXISTING[0]).when(
-            source.isNotNull(), F.concat(F.lit(R.MATCH_PREFIX), source)).otherwise("").alias("email_source"),
-        match.alias("match_type"),
+        F.when(valid, T.strip("email")).otherwise(F.coalesce("_email", F.lit(""))).alias("found_email"),
+        F.when(valid, R.MATCH_EXISTING[0]).when(F.col("_tier").isNotNull(), F.concat(F.lit(R.MATCH_PREFIX), "_source")).otherwise("").alias("email_source"),
+        match.otherwise("").alias("match_type"),
     )
 
 

@@ -111,6 +111,36 @@ def test_tiers(spark):
         4: ("b@x.org", "Збагачено з B", R.MATCH_PHONE), 5: ("", "", "")}
 
 
+def test_tiers_meet_in_one_join_of_narrow_rows(spark):
+    import re
+
+    n = 6000
+    wide = F.sha2(F.col("id").cast("string"), 512).alias("payload")
+    df = spark.range(n).select(  # a third of all rows shares one name, another third one combination of keys
+        "id", F.when(F.col("id") % 7 == 0, F.lit("own@x.org")).alias("email"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("0012345")).alias("org_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("ФОП Гамма")).otherwise(F.lit("ніхто такий")).alias("name"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("050"), F.lpad("id", 7, "0"))).alias("phone"), wide)
+    keyed = {"key": "string", "email": "string", "source": "string"}
+    schema = ", ".join(f"{k} {t}" for k, t in keyed.items())
+    by_id = spark.createDataFrame([("12345", "id@x.org", "A")] + [(f"9{k:07d}", f"z{k}@x.org", "Z") for k in range(3000)], schema)
+    by_name = spark.createDataFrame([("гамма", "name@x.org", "B")] + [(f"назва {k}", f"y{k}@x.org", "Y") for k in range(3000)], schema)
+    by_phone = spark.createDataFrame([(f"50{k:07d}", f"p{k}@x.org", "C") for k in range(0, n, 9)], schema)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.tiered_contact_match(df, by_id, by_name, by_phone)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        joins = [line for line in plan.splitlines() if re.search(r"\w+Join ", line)]
+        assert len(joins) == 2  # the probe of all tiers, and the table with its answers
+        got = {r.id: (r.found_email, r.match_type) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == n
+    for i, r in got.items():
+        want = ("own@x.org", R.MATCH_EXISTING[1]) if i % 7 == 0 else ("id@x.org", R.MATCH_ID) if i % 3 else ("name@x.org", R.MATCH_NAME)
+        assert r == want
+
+
 def test_multi_phone_takes_the_first_known(spark):
     lk = spark.createDataFrame([("111111111", "one@x"), ("222222222", "two@x")], "key string, email string")
     df = spark.createDataFrame([(1, "5; 0222222222, 0111111111"), (2, "x/y"), (3, None)], "id int, phones string")
