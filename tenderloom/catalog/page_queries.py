@@ -41,12 +41,12 @@ def _(spark, sf):
     return G.listing_cards(view(spark, sf, "card_pages"))
 
 
-_info = "CASE WHEN n % 3 = 0 THEN cast(n AS int) END"
-_pager = "CASE n % 4 WHEN 0 THEN greatest(2, cast(n AS int)) WHEN 1 THEN 7 END"
+_info = "CASE WHEN n % 3 = 0 THEN cast(n AS bigint) END"
+_pager = "CASE n % 4 WHEN 0 THEN greatest(2, cast(n AS bigint)) WHEN 1 THEN 7::bigint END"
 
 
 @query("listing_totals", f"""{ctes('card_pages')}, t AS (SELECT url, {_info} AS i, {_pager} AS p FROM card_pages)
-SELECT url, coalesce(i, p * 20, 20000) AS total_companies, coalesce(p, cast(floor((i + 19) / 20.0) AS int), 1000) AS total_pages FROM t""")
+SELECT url, coalesce(i, p * 20, 20000) AS total_companies, coalesce(p, cast(floor((i + 19) / 20.0) AS bigint), 1000) AS total_pages FROM t""")
 def _(spark, sf):
     return G.listing_totals(view(spark, sf, "card_pages"))
 

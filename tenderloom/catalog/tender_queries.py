@@ -148,7 +148,7 @@ SELECT 'buyers' AS sheet, tender_id, buyer_id AS party_id, buyer_name AS party_n
 UNION ALL SELECT 'winners', tender_id, party_id, party_name, email, party_amount FROM winners WHERE tender_id IN (SELECT tender_id FROM accepted)
 UNION ALL SELECT 'bidders', tender_id, party_id, party_name, email, party_amount FROM bidders WHERE tender_id IN (SELECT tender_id FROM accepted)""")
 def _(spark, sf):
-    return _party_sheets(P.tender_parties_strict(P.tender_parties(B.tenders(spark, sf), ["doc"]), store=stored))
+    return _party_sheets(P.strict_parties(B.tenders(spark, sf), ["doc"], store=stored))
 
 
 @query("tenders_semi", f"""{TB}, {WINNERS_SQL}, {BUYERS_SQL}, {STRICT}

@@ -51,8 +51,13 @@ def tender_buyers(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT)
     return first_wins(rows, ["tender_id", "buyer_id"], order).drop(*order)
 
 
-def _parties(tenders: DataFrame, order, outer: str, inner: str, amount: Column, rule: R.EmailRule) -> DataFrame:
-    """Two-level flattening of ``outer`` (awards or bids) and ``inner`` (its parties)."""
+def _parties(tenders: DataFrame, order, outer: str, inner: str, amount: Column, rule: R.EmailRule,
+             accepted: DataFrame | None) -> DataFrame:
+    """Two-level flattening of ``outer`` (awards or bids) and ``inner`` (its parties).
+
+    With ``accepted`` only parties of the tenders it names (``tender_id``) are kept, before any is compared with others; the
+    deduplication then runs on the partitioning of that join.
+    """
     base = _with_ids(tenders).select(
         *order, "tender_id", "subject", "amount", "buyer_name", "url",
         F.posexplode(outer).alias("_pos", "_outer"))
@@ -66,19 +71,21 @@ def _parties(tenders: DataFrame, order, outer: str, inner: str, amount: Column,
         T.strip(_text("_p.contactPoint.telephone")).alias("phone"),
         _text("_p.address.locality").alias("city"), "subject", "buyer_name", "url",
     )
+    if accepted is not None:
+        rows = rows.join(accepted.select("tender_id").distinct(), "tender_id", "left_semi")
     keys = ["tender_id", "party_id", "party_name"]
     return first_wins(rows, keys, [*order, "_pos", "_ipos"]).drop(*order, "_pos", "_ipos")
 
 
-def tender_winners(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT) -> DataFrame:
+def tender_winners(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT, accepted: DataFrame | None = None) -> DataFrame:
     """Awards by suppliers; the amount is the award's, else the tender's."""
     amount = F.coalesce(_amount("_outer.value.amount"), "amount")
-    return _parties(tenders, order, "awards", "suppliers", amount, rule)
+    return _parties(tenders, order, "awards", "suppliers", amount, rule, accepted)
 
 
-def tender_bidders(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT) -> DataFrame:
+def tender_bidders(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT, accepted: DataFrame | None = None) -> DataFrame:
     amount = F.coalesce(_amount("_outer.value.amount"), F.lit(0.0))
-    return _parties(tenders, order, "bids", "tenderers", amount, rule)
+    return _parties(tenders, order, "bids", "tenderers", amount, rule, accepted)
 
 
 def tender_row(tenders: DataFrame, drop_empty: bool = True, item_texts: int | None = 3, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -138,13 +145,16 @@ def contract_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL, keep: t
     )
 
 
-def supplier_contact_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL) -> DataFrame:
-    """Contacts of the first supplier, signer before contact point; nameless ones dropped."""
+def supplier_contact_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL, keep: tuple[str, ...] = (), named: bool = True) -> DataFrame:
+    """Contacts of the first supplier, signer before contact point; with ``named`` nameless ones are dropped.
+
+    ``keep`` names input columns carried along.
+    """
     s = contracts.withColumn("_s", F.get("suppliers", F.lit(0)))
     email = E.normalise(_first_filled("_s.signerInfo.email", "_s.contactPoint.email"))
     parts = [_text("_s.address.streetAddress"), _text("_s.address.locality"), _text("_s.address.region")]
     address = F.btrim(F.concat(parts[0], F.lit(", "), parts[1], F.lit(", "), parts[2]), F.lit(", "))
-    return s.select(
+    rows = s.select(
         _first_filled("_s.name", "_s.identifier.legalName").alias("supplier_name"),
         _text("_s.identifier.id").alias("supplier_id"),
         _first_filled("_s.signerInfo.name", "_s.contactPoint.name").alias("signer"),
@@ -153,8 +163,9 @@ def supplier_contact_row(contracts: DataFrame, rule: R.EmailRule = R.EMAIL_FULL)
         parts[1].alias("city"), parts[2].alias("region"), address.alias("address"),
         _first_filled("contractID", "id").alias("contract_id"),
         F.coalesce("value.amount", F.lit(0.0)).alias("amount"),
-        F.substring(_text("dateSigned"), 1, 10).alias("signed"),
-    ).filter("supplier_name <> ''")
+        F.substring(_text("dateSigned"), 1, 10).alias("signed"), *keep,
+    )
+    return rows.filter("supplier_name <> ''") if named else rows
 
 
 def customer_profile(customers: DataFrame) -> DataFrame:

@@ -147,23 +147,23 @@ def listing_cards(pages: DataFrame, keep=("url",)) -> DataFrame:
 def listing_totals(pages: DataFrame, estimate_from_pages: bool = True, keep=("url",)) -> DataFrame:
     """Number of companies and of pages a listing announces, with the usual fallbacks."""
     info = F.regexp_extract(
-        inner_text(_class_fragment("html", "div", "search-result__info")), r"(\d+)", 1).try_cast("int")
+        inner_text(_class_fragment("html", "div", "search-result__info")), r"(\d+)", 1).try_cast("bigint")
     links = F.regexp_extract_all(
         _class_fragment("html", "div", "pagination"), F.lit(r"(?s)(<a\b[^>]*>.*?)</a>"), F.lit(1))
 
     def number(link):
         text = inner_text(link)
         last = F.regexp_extract(link, r'href="[^"]*start_page=(\d+)', 1)
-        return F.when(text.rlike(r"^\d+$"), text.try_cast("int")).when(
-            F.lower(text).contains("остання"), last.try_cast("int"))
+        return F.when(text.rlike(r"^\d+$"), text.try_cast("bigint")).when(
+            F.lower(text).contains("остання"), last.try_cast("bigint"))
 
     pager = F.array_max(F.transform(links, number))
     per_page = R.CARDS_PER_PAGE
-    guess = pager * per_page if estimate_from_pages else F.lit(None).cast("int")
-    derived = F.floor((info + per_page - 1) / per_page).cast("int")
+    guess = pager * per_page if estimate_from_pages else F.lit(None).cast("bigint")
+    derived = F.floor((info + per_page - 1) / per_page).cast("bigint")
     return pages.select(
-        *keep, F.coalesce(info, guess, F.lit(R.DEFAULT_TOTAL)).alias("total_companies"),
-        F.coalesce(pager, derived, F.lit(R.DEFAULT_PAGES)).alias("total_pages"))
+        *keep, F.coalesce(info, guess, F.lit(R.DEFAULT_TOTAL).cast("bigint")).alias("total_companies"),
+        F.coalesce(pager, derived, F.lit(R.DEFAULT_PAGES).cast("bigint")).alias("total_pages"))
 
 
 def detail_links(pages: DataFrame, pattern: str, base: str, keep=("url",)) -> DataFrame:

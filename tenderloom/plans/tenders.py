@@ -35,6 +35,18 @@ def tender_parties_strict(tables: dict[str, DataFrame], rules: R.StrictProfile =
     }
 
 
+def strict_parties(tenders: DataFrame, order, rule: R.EmailRule = R.EMAIL_STRICT, rules: R.StrictProfile = R.StrictProfile(),
+                   store=None) -> dict[str, DataFrame]:
+    """The same from the documents: winners and bidders of other tenders go before any of them is deduplicated."""
+    buyers = strict_profile(X.tender_buyers(tenders, order, rule), "subject", "buyer_name", rules)
+    buyers = store(buyers) if store else buyers
+    return {
+        "buyers": buyers,
+        "winners": X.tender_winners(tenders, order, rule, buyers),
+        "bidders": X.tender_bidders(tenders, order, rule, buyers),
+    }
+
+
 def _with_domain_label(df: DataFrame, statuses: DataFrame, rule: R.EmailRule) -> DataFrame:
     checked = domain_status(df, "email", statuses, rule)
     return checked.withColumn("domain_label", F.when(F.col("active"), R.DOMAIN_ACTIVE_LABEL).otherwise("")).drop("active")
@@ -94,9 +106,9 @@ def supplier_contacts(found: DataFrame, statuses: DataFrame, store=None) -> dict
 
     Of a contract's suppliers the first counts, as in :func:`contracts`; the others are not read.
     """
-    unique = D.dedup_by_id_across_queries(found, "id", "query_rank", "pos")
+    flat = X.supplier_contact_row(found.withColumn("_id", F.col("id")), keep=("_id", *FOUND), named=False)
     best = D.dedup_most_complete(
-        X.supplier_contact_row(unique), "supplier_name", ["email", "phone"], ["contract_id"])
+        _unique(flat, "_id").filter("supplier_name <> ''"), "supplier_name", ["email", "phone"], ["contract_id"])
     rows = _with_domain_label(best, statuses, R.EMAIL_FULL)
     rows = store(rows) if store else rows
     return {"suppliers": rows, "coverage": coverage(rows, email="email", phone="phone")}

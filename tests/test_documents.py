@@ -113,6 +113,39 @@ def test_first_find_decides_and_only_flat_rows_are_shuffled(spark):
     assert "items" not in above and "procuringEntity" not in above
 
 
+def test_supplier_job_shuffles_flat_rows_and_the_first_find_decides(spark):
+    named = {"id": "a", "suppliers": [party("S", None, "9", "s@up.org", "1")]}
+    d = docs(spark, [{"id": "a", "suppliers": [party(None)]}, named, {**named, "id": "b"}], schemas.CONTRACT)
+    d = d.withColumn("query_rank", F.lit(0)).withColumn("pos", F.col("doc"))
+    st = spark.createDataFrame([("up.org", True)], "domain string, active boolean")
+    out = P.supplier_contacts(d, st)["suppliers"]
+    assert [(r.supplier_name, r.contract_id) for r in out.collect()] == [("S", "b")]  # the first find of a has no name
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    lowest = plan.rindex("Window [")  # the first deduplication by id
+    assert "suppliers" not in plan[:lowest] and "suppliers" in plan[lowest:]
+
+
+def test_parties_of_other_tenders_go_before_deduplication(spark):
+    import re
+
+    many = [{"id": str(n), "tenderID": f"UA-{n}", "title": "Атлас шкільний" if n % 3 else "Картридж", "value": {"amount": 2000.0},
+             "procuringEntity": party("Ліцей", None, "77"), "awards": [{"suppliers": [party("S", None, "1"), party("T", None, str(n % 2))]}],
+             "bids": [{"tenderers": [party("B", None, "2"), party("B", None, "2")]}] * 2} for n in range(30)]
+    d = docs(spark, many + many[:9])
+    early, late = P.strict_parties(d, ["doc"]), P.tender_parties_strict(P.tender_parties(d, ["doc"]))
+    for name in ("buyers", "winners", "bidders"):
+        cols = early[name].columns
+        assert sorted(map(str, early[name].collect())) == sorted(map(str, late[name].select(*cols).collect())) and early[name].count() > 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = P.strict_parties(d, ["doc"])["winners"]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    nodes = re.findall(r"(Window \[|SortMergeJoin|Exchange|WindowGroupLimit)", plan[:plan.index("SortMergeJoin") + 20])
+    assert "Exchange" not in nodes and nodes[-1] == "SortMergeJoin"  # the window reuses the partitioning of the semi-join
+
+
 def test_projections(spark):
     c = spark.createDataFrame([("1", "A", None, 1, 5.0), ("2", None, " B", 0, None), ("3", None, None, None, 9.0)], "customer_id string, firstname string, lastname string, newsletter int, orders_total double")
     for name in ("email", "telephone", "orders_completed", "last_order_date", "date_added"):

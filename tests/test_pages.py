@@ -29,6 +29,11 @@ def test_listing_totals(spark):
     assert {r.url: r.total_companies for r in G.listing_totals(df, estimate_from_pages=False).collect()}["u2"] == 20000
 
 
+def test_listing_totals_beyond_32_bits(spark):
+    got = G.listing_totals(pages(spark, '<div class="search-result__info">3000000000 компаній</div>')).first()
+    assert (got.total_companies, got.total_pages) == (3_000_000_000, 150_000_000)
+
+
 def test_school_card(spark):
     html = ('<h2 class="text-center"> "Ліцей" </h2><div class="a znv-card-blue b">Інше a@wrong.org</div><div class="znv-card-blue"><h4>Контакти</h4>'
             '<p>Директор Ім’я По-батькові</p><p>Ел.почта Boss@School.UA</p><p>Телефон (0432) 12-34-56</p></div>'
