@@ -238,3 +238,21 @@ def test_many_candidates_in_one_text(spark):
     text = " ".join("key " + hashlib.sha256(str(i).encode()).hexdigest()[:24] for i in range(20_000))
     row = secretscan.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row["n_added"] > 15_000
+
+
+# --- near copies ----------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("n", [3, 900, 1024, 6000])
+def test_sketches_estimate_similarity(n):
+    from tenderloom.llm import similar
+
+    random = np.random.default_rng(n)
+    base = np.unique(random.integers(0, 2**64, n, dtype=np.uint64))
+    others = [np.unique(np.concatenate([base[random.random(len(base)) < q], random.integers(0, 2**64, max(1, int(n * (1 - q))), dtype=np.uint64)]))
+              for q in (0.99, 0.9, 0.8, 0.5, 0.0)]
+    cut = [(x[:similar.SKETCH] >> np.uint64(32)).astype(np.uint32) for x in [base, *others]]
+    limits = np.array([c[-1] if len(x) > similar.SKETCH else 2**32 - 1 for c, x in zip(cut, [base, *others])], np.uint32)
+    starts = np.cumsum([0, *map(len, cut[1:])])[:-1]
+    got = similar.shares(cut[0], limits[0], np.concatenate(cut[1:]), starts, limits[1:])
+    want = [similar.similarity(base, x) for x in others]
+    assert np.abs(got - want).max() < (0.06 if n > similar.SKETCH else 1e-4)
