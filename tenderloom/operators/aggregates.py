@@ -11,6 +11,8 @@ from ..functions.priority import has
 
 #: Missing pages written out by one row.
 GAP = 10_000
+#: Page numbers that one task compares with each other.
+PAGE_BLOCK = 100_000
 
 
 def winner_totals(contracts: DataFrame, key: str, amount: str = "amount", contract_id: str = "contract_id") -> DataFrame:
@@ -185,11 +187,20 @@ def resume_point(pages_done: DataFrame, key: str, page: str = "page", status: Da
         F.coalesce(done, F.lit(False)).alias("done"))
 
 
-def page_gaps(pages_done: DataFrame, key: str, page: str = "page") -> DataFrame:
-    """Ranges (``first``, ``last``) of pages below each source's last one that were never stored."""
+def page_gaps(pages_done: DataFrame, key: str, page: str = "page", block: int = PAGE_BLOCK) -> DataFrame:
+    """Ranges (``first``, ``last``) of pages below each source's last one that were never stored.
+
+    Pages are compared with the one before inside blocks of ``block`` page numbers, so a source that holds most pages
+    is spread over many tasks; from block to block only its first and last stored page are compared.
+    """
     done = pages_done.filter(F.col(page) >= 1).select(key, F.col(page).cast("long").alias("_page")).distinct()
-    before = F.coalesce(F.lag("_page").over(Window.partitionBy(key).orderBy("_page")), F.lit(0))
-    return done.select(key, (before + 1).alias("first"), (F.col("_page") - 1).alias("last")).filter("first <= last")
+    done = done.withColumn("_block", F.floor(F.col("_page") / block))
+    ends = done.groupBy(key, "_block").agg(F.min("_page").alias("_page"), F.max("_page").alias("_end"))
+    before = {
+        "inside": F.lag("_page").over(Window.partitionBy(key, "_block").orderBy("_page")),
+        "between": F.lag("_end", 1, 0).over(Window.partitionBy(key).orderBy("_block"))}
+    gaps = [rows.select(key, (before[where] + 1).alias("first"), (F.col("_page") - 1).alias("last")) for rows, where in ((done, "inside"), (ends, "between"))]
+    return gaps[0].union(gaps[1]).filter("first <= last")
 
 
 def missing_pages(pages_done: DataFrame, key: str, page: str = "page") -> DataFrame:
