@@ -2,7 +2,8 @@
 
 1. Patterns find the base spans (e-mail, IP address, payment card, phone) and looser candidates: spelled-out
    e-mail addresses, IPv6 addresses, phone and card numbers in other notations.
-2. Seven labelers (patterns, checksum, two gazetteers, two on the words before, format) vote +1, -1 or not
+2. Seven labelers (patterns, checksum, a gazetteer of top-level domains, one of calling codes, card issuers and reserved
+   addresses, two on the words before, format) vote +1, -1 or not
    at all on every span.
 3. Expectation-maximisation over the counts of vote patterns (at most 3^7 rows) estimates how reliable each
    labeler is and how likely each vote pattern means personal data.
@@ -44,33 +45,103 @@ NUMBERS = (r"(?<![0-9A-Za-z.:+@_=/#-])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4
 TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "int", "mil", "info", "biz", "name", "io", "co", "me", "eu", "de", "fr",
                "es", "it", "nl", "be", "at", "ch", "uk", "ie", "pl", "cz", "pt", "se", "no", "dk", "fi", "ua", "us", "ca",
                "mx", "br", "ar", "cl", "au", "nz", "jp", "cn", "in", "kr", "za", "tr", "gr", "ro", "hu", "test", "example")
+#: Country calling codes with the least and most digits that follow them.
+CALLING_CODES = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9),
+    "36": (8, 9), "39": (6, 11), "40": (9, 9), "41": (9, 9), "43": (7, 13), "44": (9, 10), "45": (8, 8), "46": (7, 10), "47": (8, 8),
+    "48": (9, 9), "49": (6, 11), "51": (8, 9), "52": (10, 10), "53": (6, 8), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (8, 10),
+    "58": (10, 10), "60": (8, 10), "61": (9, 9), "62": (8, 12), "63": (8, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10),
+    "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "94": (9, 9), "98": (10, 10),
+    "212": (9, 9), "213": (8, 9), "216": (8, 8), "234": (8, 10), "254": (9, 9), "351": (9, 9), "352": (6, 9), "353": (7, 9), "354": (7, 7),
+    "355": (8, 9), "356": (8, 8), "357": (8, 8), "358": (6, 10), "359": (8, 9), "370": (8, 8), "371": (8, 8), "372": (7, 8), "373": (8, 8),
+    "375": (9, 9), "380": (9, 9), "381": (8, 9), "385": (8, 9), "386": (8, 8), "387": (8, 8), "389": (8, 8), "420": (9, 9), "421": (9, 9),
+    "852": (8, 8), "886": (8, 9), "966": (9, 9), "971": (8, 9), "972": (8, 9), "995": (9, 9)}
+#: Card number ranges of the issuers: leading digits and the numbers of digits that follow them.
+ISSUERS = (("4", "12,15,18"), ("5[1-5]", "14"), ("222[1-9]|22[3-9][0-9]|2[3-6][0-9]{2}|27[01][0-9]|2720", "12"), ("3[47]", "13"), ("30[0-5]", "11"),
+           ("3[689]", "12"), ("352[89]|35[3-8][0-9]", "12"), ("6011", "12,15"), ("64[4-9]", "13"), ("65", "14"), ("62", "14,15,16,17"),
+           ("5018|5020|5038|5893|6304|6759|676[1-3]", "8,9,10,11,12,13,14,15"))
+#: Address ranges that belong to nobody in public: private, loopback, link-local, documentation, benchmarks, multicast and above.
+RESERVED = (r"^0*(?:0|10|127|22[4-9]|2[34][0-9]|25[0-5])\.|^0*169\.0*254\.|^0*172\.0*(?:1[6-9]|2[0-9]|3[01])\.|^0*192\.0*168\."
+            r"|^0*192\.0+\.0*2\.|^0*198\.0*(?:18|19)\.|^0*198\.0*51\.0*100\.|^0*203\.0+\.0*113\.")
 FOR_WORDS = r"(?i)(?:tel|telefon|telefono|téléphone|phone|mobile|cell|call|fax|e-?mail|mail|contact|reach|write|card|visa|mastercard|account|ip|address|host|server|client)[^A-Za-z0-9]*$"
 AGAINST_WORDS = r"(?i)(?:(?:version|isbn|issn|order|invoice|ref|no\.|section|page|license|licence|build|part|serial|doi)[^A-Za-z0-9]*|[=#\"])$"
 
+CALLABLE = "^(?:" + "|".join(f"{code}[0-9]{{{low},{high}}}" for code, (low, high) in CALLING_CODES.items()) + ")$"
+ISSUED = "^(?:" + "|".join(f"(?:{head})[0-9]{{{n}}}" for head, rest in ISSUERS for n in rest.split(",")) + ")$"
 SPAN = "struct<s:int,kind:int,e:int,hit:string,before:string>"
 LABELERS = 7
 EM_ROUNDS = 30
 SLOTS = 64
+BLOCK = 64
+PIECE_BITS = 8
 
 
-def _found(text: Column, pattern: str, kind) -> Column:
-    """Array of spans of the pattern's matches: code points, end exclusive.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _scan(values: Column, join, zero: int, levels: int = 2) -> Column:
+    """For every entry of an int array, all entries before it joined (an associative ``join``, ``zero`` its neutral value).
+
+    A fold that appends copies all it has, so blocks of :data:`BLOCK` entries are folded, then the blocks' totals:
+    the copying stays a small multiple of the entries, also for hundreds of thousands of them.
+    """
+    def fold(xs: Column) -> Column:
+        start = F.struct(F.lit(zero).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct(join(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    if not levels:
+        return fold(values)["out"]
+
+    def joined(blocks: Column) -> Column:
+        return F.flatten(F.zip_with(blocks["out"], _scan(blocks["at"], join, zero, levels - 1), lambda out, at: F.transform(out, lambda x: join(at, x))))
+
+    def in_blocks(xs: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / BLOCK).cast("int"))
+        return F.when(F.size(xs) <= BLOCK, fold(xs)["out"]).otherwise(
+            _let(F.transform(numbers, lambda i: fold(F.slice(xs, i * BLOCK + 1, F.lit(BLOCK)))), joined))
+
+    return _let(values, in_blocks)
+
+
+def _found(text: Column, pattern: str, kind, test=None) -> Column:
+    """Array of spans of the pattern's matches that pass ``test``: code points, end exclusive.
 
     The text between the matches comes from a split, the matches from an extract, in step; offsets
     are the running sum of both lengths.
     """
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.struct(start.alias("s"), (kind(x["hit"]) if callable(kind) else F.lit(kind)).alias("kind"), end.alias("e"),
-                        x["hit"].alias("hit"), F.right(x["gap"], F.lit(24)).alias("before"))
-        return F.struct(end.alias("at"), F.when(x["hit"].isNull(), acc["spans"]).otherwise(
-            F.concat(acc["spans"], F.array(span))).alias("spans"))
+    def spans(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0)))
+        placed = F.zip_with(pairs, _scan(sizes, lambda a, b: a + b, 0), lambda x, at: F.struct(
+            (at + F.length(x["gap"])).alias("s"), x["gap"].alias("gap"), x["hit"].alias("hit")))
+        passed = F.filter(placed, lambda x: x["hit"].isNotNull() & (test(x["hit"]) if test else F.lit(True)))
+        return F.transform(passed, lambda x: F.struct(
+            x["s"].alias("s"), (kind(x["hit"]) if callable(kind) else F.lit(kind)).alias("kind"), (x["s"] + F.length(x["hit"])).alias("e"),
+            x["hit"].alias("hit"), F.right(x["gap"], F.lit(24)).alias("before")))
+
+    return _let(F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                           lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit"))), spans)
+
+
+def _apart(more: Column, base: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``, by start.
+
+    In the order of starts, a span overlaps a base span if one before it ends after its start or one behind it starts
+    before its end; equal starts are seen from both sides.
+    """
+    def tagged(spans: Column, fixed: bool) -> Column:
+        return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(fixed).alias("fixed"), x.alias("span")))
 
-    pairs = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                       lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["spans"])
+    def free(both: Column) -> Column:
+        far = 2**31 - 1
+        reach = _scan(F.transform(both, lambda x: F.when(x["fixed"], x["span"]["e"]).otherwise(0)), F.greatest, 0)
+        ahead = F.reverse(_scan(F.transform(F.reverse(both), lambda x: F.when(x["fixed"], -x["s"]).otherwise(-far)), F.greatest, -far))
+        left = F.zip_with(both, reach, lambda x, end: F.struct(x["span"].alias("span"), (~x["fixed"] & (end <= x["s"])).alias("free")))
+        right = F.zip_with(left, ahead, lambda x, start: F.struct(x["span"].alias("span"), (x["free"] & (-start >= x["span"]["e"])).alias("free")))
+        return F.transform(F.filter(right, lambda x: x["free"]), lambda x: x["span"])
+
+    return _let(F.array_sort(F.concat(tagged(base, True), tagged(more, False))), free)
 
 
 def _digits(hit: Column) -> Column:
@@ -91,15 +162,15 @@ def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.when(test, spans).otherwise(none)
 
     email = when(F.contains(text, F.lit("@")), _found(text, EMAIL, 0))
-    ip = F.filter(when(digit & F.contains(text, F.lit(".")), _found(text, IP, 1)), lambda x: x["hit"].rlike(IP_PARTS))
-    card = F.filter(when(digit, _found(text, CARD, 2)), lambda x: _between(F.length(_digits(x["hit"])), 12, 19) & F.call_function("luhn_check", _digits(x["hit"])))
-    phone = F.filter(when(F.contains(text, F.lit("+")), _found(text, PHONE, 3)), lambda x: _between(F.length(_digits(x["hit"])), 9, 15))
+    ip = when(digit & F.contains(text, F.lit(".")), _found(text, IP, 1, lambda hit: hit.rlike(IP_PARTS)))
+    card = when(digit, _found(text, CARD, 2, lambda hit: _between(F.length(_digits(hit)), 12, 19) & F.call_function("luhn_check", _digits(hit))))
+    phone = when(F.contains(text, F.lit("+")), _found(text, PHONE, 3, lambda hit: _between(F.length(_digits(hit)), 9, 15)))
     spelled = when(text.rlike("(?i)dot"), _found(text, SPELLED, 0))
     numbers = when(digit, _found(text, NUMBERS, lambda hit: F.when(F.contains(hit, F.lit(":")), 1).when(
         F.length(_digits(hit)) == 16, 2).otherwise(3)))
     out = docs.withColumn("_base", F.array_sort(F.concat(email, ip, card, phone))).withColumn("_more", F.concat(spelled, numbers))
-    return out.withColumn("_more", F.when(F.size("_more") == 0, F.col("_more")).otherwise(F.filter(
-        "_more", lambda m: ~F.exists("_base", lambda b: (b["s"] < m["e"]) & (m["s"] < b["e"])))))
+    return out.withColumn("_more", F.when((F.size("_more") == 0) | (F.size("_base") == 0), F.col("_more")).otherwise(
+        _apart(F.col("_more"), F.col("_base"))))
 
 
 def _vote(yes: Column, no: Column) -> Column:
@@ -112,13 +183,15 @@ def votes(x: Column) -> Column:
     digits = _digits(hit)
     n = F.length(digits)
     known = F.lower(F.regexp_extract(F.substring_index(F.substring_index(hit, ".", -1), " ", -1), "^[A-Za-z0-9-]+", 0)).isin(*TOP_DOMAINS)
-    area = F.regexp_extract(hit, r"^(?:\+[0-9]{1,3})?[^0-9]*([0-9]{3})", 1)
+    called = F.when(hit.startswith("+"), digits.rlike(CALLABLE)).otherwise(digits.rlike("^[2-9][0-9]{9}$|" + CALLABLE[1:]))
+    reserved = hit.rlike(RESERVED)
     never = F.lit(False)
     return F.array(
         _vote(hit.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+$|^[0-9]+(?:\.[0-9]+){3}$|^\+[0-9]|^[0-9][0-9 -]+$"), never),
         F.when((kind == 2) | ((kind == 3) & (n >= 12)), _vote(F.call_function("luhn_check", digits), F.lit(kind == 2))).otherwise(0),
         F.when(kind == 0, _vote(known, ~known)).otherwise(0),
-        F.when(kind == 3, _vote(area.rlike("^[2-9]"), area.rlike("^[01]"))).otherwise(0),
+        F.when(kind == 3, _vote(called, ~called)).when(kind == 2, _vote(digits.rlike(ISSUED), ~digits.rlike(ISSUED))).when(
+            (kind == 1) & F.contains(hit, F.lit(".")), _vote(~reserved, reserved)).otherwise(0),
         _vote(before.rlike(FOR_WORDS), never),
         _vote(never, before.rlike(AGAINST_WORDS)),
         F.when(kind == 0, 0).otherwise(_vote((kind == 1) | (n == 10) | (n == 11) | (n == 16), digits.rlike(r"^(.)\1*$"))))
@@ -228,15 +301,24 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars")
     out = classified(stored(with_spans(docs, text_col), "pii-documents"))
     text, name = F.col(text_col), F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def step(acc: Column, x: Column) -> Column:
-        parts = F.when(x["s"] < acc["at"], acc["out"]).otherwise(F.concat(
-            acc["out"], F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.element_at(name, x["kind"] + 1))))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), parts.alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    rebuilt = F.aggregate(
-        F.array_sort(F.concat("_base", "_added")), start, step,
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+    def piece(pieces: Column, at: Column, n: Column) -> Column:
+        """``n`` characters from ``at`` (from 0), read from the pieces that hold them."""
+        first = F.shiftright(at, PIECE_BITS)
+        held = F.slice(pieces, first + 1, F.shiftright(at + n + 2**PIECE_BITS - 1, PIECE_BITS) - first)
+        return F.substring(F.array_join(held, ""), at - F.shiftleft(first, PIECE_BITS) + 1, n)
+
+    def rewritten(x: Column) -> Column:
+        pieces, spans = x["pieces"], x["spans"]
+        done = _scan(spans["e"], F.greatest, 0)
+        shown = F.filter(F.zip_with(spans, done, lambda s, at: F.struct(s["s"].alias("s"), s["kind"].alias("kind"), at.alias("at"))), lambda s: s["s"] >= s["at"])
+        end = F.array_max(spans["e"])
+        return F.concat(
+            F.array_join(F.transform(shown, lambda s: F.concat(piece(pieces, s["at"], s["s"] - s["at"]), F.element_at(name, s["kind"] + 1))), ""),
+            piece(pieces, end, x["n"] - end))
+
+    # a substring of a long text walks from its start, so the text is cut into pieces once
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{2**PIECE_BITS}}}+"), F.lit(0))
+    rebuilt = _let(F.struct(cut.alias("pieces"), F.array_sort(F.concat("_base", "_added")).alias("spans"), F.length(text).alias("n")), rewritten)
     clean = F.when(text.isNull() | (F.size("_base") + F.size("_added") == 0), text).otherwise(rebuilt)
     out = out.withColumn(text_col, clean)
     if length_col in docs.columns:

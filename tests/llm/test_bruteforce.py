@@ -11,6 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -110,6 +111,50 @@ def test_op1_long_runs(odd):
     assert rows[10]["spans"].startswith("email:0:") and rows[11]["spans"] == ""
 
 
+def test_op1_many_matches_in_one_text(spark):
+    numbers = ", ".join(str(i) for i in range(200_000))
+    people = " ".join(f"née p{i}@mail{i % 7}.example.org or tel 555-010-{i % 10_000:04d}" for i in range(50_000))
+    texts = {1: numbers, 2: people, 3: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = sorted(pii.find_pii(docs).collect(), key=lambda r: r["doc_id"])
+    check_pii(rows, [texts[r["doc_id"]] for r in rows])
+    assert rows[1]["n_email"] == 50_000
+    out = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    spans = [x.split(":") for x in rows[1]["spans"].split(",")]
+    want, at = [], 0
+    for kind, s, e in ((k, int(s), int(e)) for k, s, e in spans):
+        if s >= at:
+            want += [people[at:s], f"[{kind.upper()}]"]
+        at = max(at, e)
+    assert out[1] == numbers and out[2] == "".join(want) + people[at:] and out[3] is None
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4096, 4097, 9000])
+def test_scan_joins_what_stands_before(spark, n):
+    values = np.random.default_rng(n).integers(0, 1000, n)
+    frame = spark.createDataFrame([(values.tolist(),)], "x array<int>")
+    sums, tops = frame.select(pii._scan(F.col("x"), lambda a, b: a + b, 0), pii._scan(F.col("x"), F.greatest, 0)).first()
+    assert sums == [0, *np.cumsum(values)[:-1].tolist()][:n] and tops == [0, *np.maximum.accumulate(values)[:-1].tolist()][:n]
+
+
+def test_candidates_beside_base_spans(spark):
+    random = np.random.default_rng(4)
+    for n in (3, 40, 300):
+        spans = [[(int(s), 0, int(s + 1 + random.integers(6)), "", "") for s in random.integers(0, 9 * n, n)] for _ in range(2)]
+        frame = spark.createDataFrame([tuple(spans)], f"base array<{pii.SPAN}>, more array<{pii.SPAN}>")
+        got = frame.select(pii._apart(F.col("more"), F.col("base")).alias("x")).first()["x"]
+        assert [tuple(x) for x in got] == sorted(m for m in spans[1] if not any(b[0] < m[2] and m[0] < b[2] for b in spans[0]))
+
+
+def test_known_number_ranges():
+    for digits, known in (("12025550123", True), ("4930123456", True), ("33123456789", True), ("3312345678", False), ("99912345678", False)):
+        assert bool(re.match(pii.CALLABLE, digits)) == known
+    for digits, known in (("4111111111111111", True), ("378282246310005", True), ("2720990000000007", True), ("2721000000000004", False), ("9999999999999995", False)):
+        assert bool(re.match(pii.ISSUED, digits)) == known
+    for ip, known in (("10.1.2.3", True), ("172.32.0.1", False), ("203.0.113.9", True), ("8.8.8.8", False), ("240.0.0.1", True)):
+        assert bool(re.match(pii.RESERVED, ip)) == known
+
+
 def test_op1_spelled_candidates_in_any_case(spark):
     rows = [(n, f"write to jane [at] example [{dot}] com") for n, dot in enumerate(["dot", "DOT", "Dot", "dOT"])]
     found = pii.with_spans(spark.createDataFrame(rows, "doc_id long, text string")).select("_more").collect()
