@@ -289,6 +289,34 @@ def test_html_furniture(spark):
     assert out[1] == out[2] == "" and len(out[4]) == 5 * 50_000 - 1
 
 
+LONG = "word " * 80
+
+
+@pytest.mark.parametrize("page, words", [
+    (f'<div class="layout has-sidebar"><article><p>{LONG}</p></article></div>', 80), (f'<div class="no-sidebar"><p>{LONG}</p></div>', 80),
+    (f'<div class="header-grid"><article><p>few words</p></article></div>', 2), (f'<div class="header-grid"><p>few words</p></div>', 0),
+    (f'<article><p>{LONG}</p><div class="related-work"><p>{LONG}</p></div></article>', 160),
+    (f'<article><p>{LONG}</p><article class="comment"><p>a reader says {LONG}</p></article></article>', 80),
+    (f'<article><p>{LONG}<math><mi>x</mi><annotation>x_1</annotation></math></p></article>', 81),
+    (f'<div class="sidebar"><p>{LONG}</p></div><nav><p>{LONG}</p></nav><div id="disqus_thread">{LONG}</div><div class="post-comments">{LONG}</div>', 0),
+    (f'<div class="header-grid"><h2>Head line</h2><p>{LONG}</p><p>{LONG}</p><ul><li><a>one</a><li><a>two</a></ul></div>', 162),
+    (f'<main><p>{LONG}</p><ul><li><a>one</a><li><a>two x</a><li><a>three</a><li><a>four</a></ul><p>{LONG}</p></main>', None),
+    (f'<article><p>with a <a>link</a> in it here now</p><p><a>a linked line</a></p><p>{LONG}</p></article>', 90)])
+def test_words_and_links_against_names(page, words):
+    text = webtext.main_text(page, webtext.grow(list(webtext.LABELLED)))
+    if words is None:  # links among links go, even from the content
+        assert text.startswith(LONG.strip()) and text.endswith(LONG.strip()) and "two x" not in text
+    else:
+        assert len(text.split()) == words
+
+
+def test_the_tree_asks_for_words_and_links_first():
+    tree = webtext.grow(list(webtext.LABELLED))
+    assert tree[0] != 0 and all(webtext.decide(tree, (zone, 2, 1.0, 3, 1.0, 2, 1.0)) == 0 for zone in (-2, -1, 0, 1))
+    assert all(webtext.decide(tree, (-2, n, 0.0, n, 0.0, n, 0.0)) == 0 for n in range(1, 400))
+    assert all(webtext.decide(tree, (1, n, 0.0, n, 0.0, n, 0.0)) == 1 for n in range(1, 400))
+
+
 def check_mix(rows, docs, weights=(1, 2, 3)):
     size = {i: len(SPACE.findall(t or "")) for i, t, _ in docs}
     by = defaultdict(int)
