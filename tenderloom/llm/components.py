@@ -21,6 +21,7 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
     """``node``, ``component`` (the smallest node reachable) for every node that is not the smallest of its own.
 
     ``links``: two long columns, any names, any direction, repeats allowed; links to itself and nulls are ignored.
+    Rounds grow with the logarithm of the longest chain; links that still change after ``rounds`` raise an error.
     """
     a, b = (F.col(c) for c in links.columns)
     links = stored(links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).filter(a.isNotNull() & b.isNotNull() & (a != b)).distinct(), "links")
@@ -39,4 +40,6 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component"))

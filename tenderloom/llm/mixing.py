@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .common import word_count
 
 BINS = 4096
@@ -59,17 +60,21 @@ def _uniform(key: Column, seed: int) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: int = 7, columns: list[str] | None = None) -> DataFrame:
     """Adds ``size``, ``source_size``, ``target`` and ``copies`` (int) to the documents.
 
-    Columns of those names are replaced; other columns pass through. Null texts have size 0, and rows of
-    size 0 are taken 0 times. Rows equal in id, source and size share their rank and are taken together. An
-    empty table gives no rows; a null source is a source of its own. The same rows always give the same copies.
+    Columns of those names are replaced; other columns (or those named in ``columns``) pass through. Null texts have
+    size 0, and rows of size 0 are taken 0 times. Rows equal in id, source and size share their rank and are taken
+    together. An empty table gives no rows; a null source is a source of its own. The same rows always give the same copies.
+
+    Texts are read once for their sizes, and once more only if they are among the columns. What is kept per source and
+    length class is written first, so Spark knows its size and broadcasts it only where it is small.
     """
-    keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    sized = docs.select(*keep, word_count(F.col("text")).alias("size"))
-    sized = sized.withColumn("cls", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(F.lit(0)))
-    narrow = sized.select("source", "size", "cls")
+    keep = [c for c in (columns or docs.columns) if c not in ("size", "source_size", "target", "copies")]
+    size = word_count(F.col("text"))
+    rows = docs.select(F.struct(*keep).alias("row"), "doc_id", "source", size.alias("size")).withColumn(
+        "cls", F.when(F.col("size") > 0, F.length(F.bin("size"))).otherwise(F.lit(0)))
+    narrow = stored(rows.drop("row") if "text" in keep else rows, "mix-sizes")
     goal = targets(narrow, weights, most)
 
     classes = narrow.groupBy("source", "cls").agg(F.sum("size").alias("class_size"))
@@ -84,54 +89,56 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, se
         .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.sum(
             F.col("class_size") * F.col("whole")).over(Window.partitionBy("source"))))
         .select("source", "cls", "source_size", "target", "whole", "p", "rest"))
+    plan = stored(plan, "mix-plan")  # one row per source and class
 
-    s, p = sized.alias("s"), plan.alias("p")
-    odds = F.col("p") / (1 - F.col("p"))
-    u = _uniform(F.col("doc_id"), seed)
-    ranked = (
-        s.join(p, F.col("s.source").eqNullSafe(F.col("p.source")) & (F.col("s.cls") == F.col("p.cls")))
-        .select(*[F.col(f"s.{c}") for c in [*keep, "size"]], "source_size", "target", "whole", "p", "rest", F.col("s.cls").alias("cls"))
-        .withColumn("rank", F.when((F.col("p") > 0) & (F.col("size") > 0), (u / (1 - u)) / odds))
-        .withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int")))
+    def ranked(sized: DataFrame) -> DataFrame:
+        s, p = sized.alias("s"), plan.alias("p")
+        odds, u = F.col("p") / (1 - F.col("p")), _uniform(F.col("doc_id"), seed)
+        return (
+            s.join(p, F.col("s.source").eqNullSafe(F.col("p.source")) & (F.col("s.cls") == F.col("p.cls")))
+            .select("s.*", "source_size", "target", "whole", "p", "rest")
+            .withColumn("rank", F.when((F.col("p") > 0) & (F.col("size") > 0), (u / (1 - u)) / odds))
+            .withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int")))
 
-    def narrowed(source: DataFrame) -> DataFrame:
-        return source.select("source", "doc_id", "size", "cls", "rest", "rank", "bin").filter(F.col("rank").isNotNull())
+    drawn = ranked(narrow).select("source", "doc_id", "size", "rest", "rank", "bin").filter(F.col("rank").isNotNull())
 
     # where the running sum of words over the bins passes the remaining target
-    bins = narrowed(ranked).groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
+    bins = drawn.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
     so_far = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    cut_bin = (
+    cut_bin = stored(
         bins.withColumn("before", F.coalesce(F.sum("words").over(so_far), F.lit(0)))
         .filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
-        .select("source", F.col("bin").alias("cut_bin"), "before"))
-    c = F.broadcast(cut_bin).alias("c")  # one row per source, as the targets
-    inside = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    last = (
-        narrowed(ranked).alias("r").join(c, F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("bin") == F.col("cut_bin")))
-        .select("r.*", "before").withColumn("upto", F.col("before") + F.sum("size").over(inside))
+        .select("source", F.col("bin").alias("cut_bin"), "before"), "mix-bins")
+    # equal rows of the bin are one with a count: the first ``fit`` of them still find room
+    equal = (
+        drawn.alias("r").join(cut_bin.alias("c"), F.col("r.source").eqNullSafe(F.col("c.source")) & (F.col("bin") == F.col("cut_bin")))
+        .groupBy("r.source", "rank", "doc_id", "size", "rest", "bin", "before").agg(F.count("*").alias("n")))
+    earlier = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    last = stored(
+        equal.withColumn("start", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(earlier), F.lit(0)))
+        .withColumn("fit", F.least(F.col("n"), F.floor((F.col("rest") - F.col("start")) / F.col("size"))))
+        .withColumn("upto", F.when(F.col("fit") > 0, F.col("start") + F.col("fit") * F.col("size")))
         .groupBy("source").agg(
-            F.max(F.when(F.col("upto") <= F.col("rest"), F.struct("rank", "doc_id", "size"))).alias("cut"),
-            F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("upto"),
+            F.max(F.when(F.col("fit") > 0, F.struct("rank", "doc_id", "size"))).alias("cut"), F.max("upto").alias("upto"),
             F.first("before").alias("before"), F.first("bin").alias("cut_bin"), F.first("rest").alias("rest"))
-        .withColumn("gap", F.col("rest") - F.coalesce("upto", "before")).drop("upto", "before", "rest"))
+        .withColumn("gap", F.col("rest") - F.coalesce("upto", "before")).drop("upto", "before", "rest"), "mix-cuts")
     row = F.struct("rank", "doc_id", "size")
     in_sample = F.col("rank").isNotNull() & F.coalesce(
         (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & F.coalesce(row <= F.col("cut"), F.lit(False))),
         F.lit(True))
     off = F.abs(F.col("size") - F.col("gap"))
-    l = F.broadcast(last).alias("l")
+    l = last.alias("l")
     closing = (
-        narrowed(ranked).alias("r").join(l, F.col("r.source").eqNullSafe(F.col("l.source")))
+        drawn.alias("r").join(l, F.col("r.source").eqNullSafe(F.col("l.source")))
         .filter(~in_sample & (F.col("size") < 2 * F.col("gap")))
         .groupBy("r.source").agg(F.min(F.struct(off.alias("off"), "rank", "doc_id")).alias("closing")))
-    e = F.broadcast(last.alias("l").join(closing.alias("k"), F.col("l.source").eqNullSafe(F.col("k.source")), "left")
-                    .select("l.*", "closing")).alias("e")
+    ends = stored(l.join(closing.alias("k"), F.col("l.source").eqNullSafe(F.col("k.source")), "left").select("l.*", "closing"), "mix-ends")
     closes = F.coalesce(F.struct(off.alias("off"), "rank", "doc_id") == F.col("closing"), F.lit(False)) & ~in_sample
     extra = (in_sample | closes).cast("int")
     return (
-        ranked.alias("r").join(e, F.col("r.source").eqNullSafe(F.col("e.source")), "left")
-        .select(*[F.col(f"r.{c}") for c in keep], "size", "source_size", "target",
-                F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(F.lit(0)).alias("copies")))
+        ranked(rows if "text" in keep else narrow).alias("r").join(ends.alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")), "left")
+        .select("r.row", "r.size", "source_size", "target", F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(F.lit(0)).alias("copies"))
+        .select("row.*", "size", "source_size", "target", "copies"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:

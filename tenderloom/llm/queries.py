@@ -40,7 +40,7 @@ def op4_html_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix(table(spark, sf, "documents"), columns=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -374,6 +374,26 @@ def test_mix_of_odd_rows(odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_mix_counts_words_once_and_takes_equal_rows_together(spark):
+    rows = [(i % 4, "some words of one text " * (1 + i % 4), "a", 1) for i in range(400)] + [(i, "word " * (i % 50), "b", 2) for i in range(10, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, cls int")
+    whole = mixing.mix(docs)
+    assert whole.columns == [*docs.columns, "size", "source_size", "target", "copies"] and {r["cls"] for r in whole.collect()} == {1, 2}
+    short = mixing.mix(docs, columns=["doc_id"])
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan and "regexp_count" not in plan.lower()  # sizes are read from what is stored
+    key = ["doc_id", "size", "target", "copies"]
+    assert Counter(map(tuple, short.select(*key).collect())) == Counter(map(tuple, whole.select(*key).collect()))
+    assert len({(r["doc_id"], r["copies"]) for r in short.filter("doc_id < 4").collect()}) == 4
+
+
+def test_components_that_still_change_are_an_error(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        simhash.connected_components(chain, rounds=1)
+    assert {r["component"] for r in simhash.connected_components(chain).collect()} == {0}
+
+
 def brute_fingerprint(text):
     words = [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())]
     if not words:
