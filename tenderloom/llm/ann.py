@@ -8,7 +8,9 @@ perturbed bucket has a probability of holding it. A query visits buckets in fall
 probability until ``success`` of it is covered, in each table, and the candidates of all tables are merged and
 ranked by their exact inner products.
 
-c is measured: a bounded sample of queries is searched exactly over all rows. Equal vectors are one
+c is measured: a bounded sample of queries is searched exactly over all rows, and c is the lower quartile of what they
+find, so queries outside a dense region are not held to its closeness. A query that found too few candidates in its
+buckets goes on to all the others. Equal vectors are one
 candidate that carries its smallest ids. Rows are dealt into bounded groups by bucket and by a hash of
 their id, queries go to the groups that hold buckets they visit, in bounded groups as well.
 """
@@ -26,6 +28,8 @@ from ..session import stored
 from .common import valid_vectors
 
 SAMPLE = 64
+#: Least log probability of a query that visits every bucket.
+EVERYWHERE = -1e18
 
 
 class Tables:
@@ -123,8 +127,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
 
     ``success`` is the estimated chance per table of finding a k-th neighbour. Null and zero vectors, vectors with
     a null or non-finite component or of another length than the longest, and rows without an id take no part.
-    Repeated rows count once; rows that share an id with a query are not its candidates. A query with k or fewer
-    candidates found in its buckets returns those. Other columns are ignored; an empty table gives no rows.
+    Repeated rows count once; rows that share an id with a query are not its candidates. A query whose buckets hold
+    fewer than k of them visits all buckets, so it returns k, or all candidates if there are fewer. Other columns are ignored; an empty table gives no rows.
     """
     rows = valid_vectors(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")), "v", False)
     rows = rows.filter(F.col("vec_id").isNotNull())
@@ -159,6 +163,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
                     cells = model.cells(t, x)
                     yield pd.DataFrame({"t": t, "g": _group_of(cells, bucket_groups), "id": batch["u"], "v": batch["v"], "cell": list(cells), "least": 0.0})
 
+    def place_everywhere(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(0, g, q, v, None, EVERYWHERE) for q, v in zip(batch["q"], batch["v"]) for g in range(bucket_groups)]
+            yield pd.DataFrame(out, columns=["t", "g", "id", "v", "cell", "least"])
+
     def place_queries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
@@ -178,8 +187,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
 
     data = classes.select("u", "v").mapInPandas(place_rows, schema).withColumn("r", dealt(r, 1)).withColumn(
         "h", F.explode(F.sequence(F.lit(0), F.lit(h - 1)))).withColumn("ask", F.lit(False))
-    asked = queries.select("q", "v").repartition("q").mapInPandas(place_queries, schema).withColumn("h", dealt(h, 2)).withColumn(
-        "r", F.explode(F.sequence(F.lit(0), F.lit(r - 1)))).withColumn("ask", F.lit(True))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         import numpy as np
@@ -197,7 +204,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
         for q, v, least in zip(asks["id"], asks["v"], asks["least"]):
             unit = np.append(v / np.linalg.norm(v), 0.0)
             chance = model.visits(table, unit, cells, least)
-            visited = np.flatnonzero(chance > -np.inf)
+            visited = np.arange(len(cells)) if least == EVERYWHERE else np.flatnonzero(chance > -np.inf)
             if not len(visited):
                 continue
             visited = visited[np.argsort(-chance[visited], kind="stable")]
@@ -213,7 +220,17 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
         return pd.DataFrame({"q": np.concatenate(q_of), "u": np.concatenate(q_ids), "score": np.concatenate(q_scores)})
 
     columns = ["t", "g", "r", "h", "id", "v", "cell", "least", "ask"]
-    found = data.select(*columns).union(asked.select(*columns)).groupBy("t", "g", "r", "h").applyInPandas(search, "q long, u long, score double")
+
+    def searched(rows: DataFrame, asking: DataFrame, place) -> DataFrame:
+        asked = asking.select("q", "v").repartition("q").mapInPandas(place, schema).withColumn("h", dealt(h, 2)).withColumn(
+            "r", F.explode(F.sequence(F.lit(0), F.lit(r - 1)))).withColumn("ask", F.lit(True))
+        return rows.select(*columns).union(asked.select(*columns)).groupBy("t", "g", "r", "h").applyInPandas(search, "q long, u long, score double")
+
+    found = stored(searched(data, queries, place_queries), "found")
+    held = found.select("q", "u").distinct().join(classes.select("u", F.size("ids").alias("n")), "u").groupBy("q").agg(F.sum("n").alias("n"))
+    few = stored(queries.join(held.filter(F.col("n") > k), "q", "left_anti"), "few")  # the query itself is one of them
+    if not few.isEmpty():
+        found = found.union(searched(data.filter("t = 0"), few, place_everywhere))
     by_class = Window.partitionBy("q").orderBy(F.col("score").desc(), "u")
     found = found.groupBy("q", "u").agg(F.max("score").alias("score")).withColumn("nth", F.row_number().over(by_class)).filter(F.col("nth") <= k + 1)
     # from classes to rows: every query of a class, all ids of the classes found but its own
@@ -229,7 +246,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 2, f
 
 
 def _closeness(classes: DataFrame, queries: DataFrame, k: int, largest: float) -> float:
-    """Mean inner product, as unit vectors, of a sampled query with its k-th nearest row; exact over all rows.
+    """Lower quartile of the inner product, as unit vectors, of sampled queries with their k-th nearest row; exact over all rows.
 
     The sample is the :data:`SAMPLE` queries with the smallest hash of their id.
     """
@@ -249,5 +266,5 @@ def _closeness(classes: DataFrame, queries: DataFrame, k: int, largest: float) -
 
     parts = classes.select("v").mapInPandas(nearest_of, "s int, best array<double>").select("s", F.explode("best").alias("b"))
     order = Window.partitionBy("s").orderBy(F.col("b").desc())
-    found = parts.withColumn("nth", F.row_number().over(order)).filter((F.col("nth") == k + 1) & (F.col("b") > -1.5)).agg(F.avg("b")).first()[0]
+    found = parts.withColumn("nth", F.row_number().over(order)).filter((F.col("nth") == k + 1) & (F.col("b") > -1.5)).agg(F.percentile("b", 0.25)).first()[0]
     return min(0.999, max(0.0, found if found is not None else 0.0))

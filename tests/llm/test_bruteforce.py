@@ -250,6 +250,32 @@ def test_vector_searches_on_odd_rows(spark):
     assert ann.nearest(df.filter("1 = 0")).count() == 0 and topk.exact_topk(df.filter("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 15, 21, 25])
+def test_op2_small_tables_return_all_candidates(spark, n):
+    v = np.random.default_rng(n).normal(size=(n, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in ann.nearest(df).collect():
+        got[r["query_id"]].append(r["vec_id"])
+    for q in range(0, n, 20):
+        assert len(got[q]) == len(set(got[q])) == min(20, n - 1) and q not in got[q]
+
+
+def test_op2_dense_third(spark):
+    random = np.random.default_rng(8)
+    v = random.normal(size=(6000, 64))
+    v[::3] = random.normal(size=64) + 0.4 * v[::3]
+    v = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.nearest(df).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    share = defaultdict(list)
+    for q, rows in exact(np.arange(6000), v.astype(np.float64), 20, 20).items():
+        share[q % 3 == 0].append(len(got[q] & {i for i, _ in rows}) / 20)
+    assert np.mean(share[True]) >= 0.95 and np.mean(share[False]) >= 0.95, {dense: np.mean(x) for dense, x in share.items()}
+
+
 def test_op3_repeated_rows_take_no_places(spark):
     random = np.random.default_rng(8)
     v = random.normal(size=(60, 8)).astype(np.float32)
