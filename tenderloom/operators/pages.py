@@ -9,82 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import rules as R
-from ..functions import email as E, text as T
+from ..functions import html as H, text as T
 from .dedup import first_wins
 
-_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&ndash;", "–"), ("&mdash;", "—"),
-)
-
-
-def _numeric_entity(token: Column) -> Column:
-    digits = F.regexp_extract(token, r"^&#([0-9]{1,7});$", 1)
-    hexed = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1)
-    code = F.when(hexed != "", hexed).otherwise(F.hex(F.expr("0") + digits.try_cast("int")))
-    return F.when((digits != "") | (hexed != ""), F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(token)
-
-
-def unescape(c) -> Column:
-    """HTML entities to characters: the common named ones, decimal and hexadecimal codes."""
-    text = T.col(c)
-    for name, char in _ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    tokens = F.regexp_extract_all(text, F.lit(r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&"), F.lit(0))
-    text = F.when(text.contains("&#"), F.array_join(F.transform(tokens, _numeric_entity), "")).otherwise(text)
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
-
-
-def inner_text(fragment) -> Column:
-    """Text of a fragment with its tags removed, ends trimmed."""
-    return T.strip(unescape(F.regexp_replace(T.null_to_empty(fragment), r"<[^>]*>", "")))
-
-
-def joined_text(fragment) -> Column:
-    """Text pieces between tags, each trimmed, joined with single spaces."""
-    pieces = F.transform(F.split(T.null_to_empty(fragment), r"<[^>]*>"), lambda p: T.strip(unescape(p)))
-    return F.array_join(F.filter(pieces, lambda p: p != ""), " ")
-
-
-def page_text(html) -> Column:
-    """All visible text: scripts, styles, comments and tags removed."""
-    bare = F.regexp_replace(
-        T.null_to_empty(html), r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>", "")
-    return unescape(bare)
-
-
-def _own_content(rest: Column, tag: str) -> Column:
-    """What comes before the closing tag that belongs to an element whose content starts ``rest``.
-
-    The text is cut at closing tags of that name; the element ends at the first cut where no more of them
-    were opened than closed, or with the text if it is never closed.
-    """
-    def upto_end(pieces):
-        opened = F.transform(pieces, lambda p: F.regexp_count(p, F.lit(rf"(?i)<{tag}\b")))
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end"))
-        found = F.aggregate(opened, start, lambda s, n: F.struct(
-            (s["depth"] + n - 1).alias("depth"), (s["seen"] + 1).alias("seen"),
-            F.when((s["end"] == 0) & (s["depth"] + n == 1), s["seen"] + 1).otherwise(s["end"]).alias("end")))["end"]
-        length = F.when(found > 0, found).otherwise(F.size(pieces))
-        return F.array_join(F.slice(pieces, F.lit(1), length), f"</{tag}>")
-
-    # as a lambda variable the pieces are made once
-    return F.get(F.transform(F.array(F.split(rest, rf"(?i)</{tag}\s*>")), upto_end), F.lit(0))
-
-
-def _class_fragment(html, tag: str, cls: str) -> Column:
-    """Content of the first ``tag`` carrying class ``cls``, up to its own closing tag; "" if there is none."""
-    return _own_content(F.regexp_extract(
-        T.null_to_empty(html), rf"""(?s)<{tag}\b[^>]*\bclass=(["'])(?:[^"'>]*\s)?{cls}(?:\s[^"'>]*)?\1[^>]*>(.*)""", 2), tag)
-
-
 def _class_section(html, cls: str, marker: str) -> Column:
     """Text of the first card of class ``cls`` that mentions ``marker``, up to the card's own end or the next card."""
     blocks = F.split(T.null_to_empty(html), r"""<div\b[^>]*\bclass=["'](?:[^"'>]*\s)?znv-card-""")
     cards = F.transform(
         F.filter(blocks, lambda b: b.rlike(rf"""^{cls}[\s"']""") & b.contains(marker)),
-        lambda b: _own_content(F.regexp_replace(b, r"(?s)^[^>]*>|</body>.*$", ""), "div"))
-    return unescape(F.regexp_replace(
+        lambda b: H.own_content(F.regexp_replace(b, r"(?s)^[^>]*>|</body>.*$", ""), "div"))
+    return H.unescape(F.regexp_replace(
         T.null_to_empty(F.get(F.filter(cards, lambda c: c.contains(marker)), F.lit(0))), r"<[^>]*>", ""))
 
 
@@ -119,49 +53,53 @@ def listing_cards(pages: DataFrame, keep=("url",)) -> DataFrame:
     cards = pages.select(
         *keep, F.posexplode(F.split("html", r'<div\b[^>]*\bclass="row p-3 p-md-4"[^>]*>')).alias("card_pos", "card")
     ).filter("card_pos > 0")
-    title = _class_fragment("card", "div", "cart-company-lg__title")
-    name = inner_text(F.regexp_extract(title, r"(?s)<a\b[^>]*>(.*?)</a>", 1))
-    lines = F.regexp_extract_all(
-        _class_fragment("card", "ul", "cart-company-lg__list"), F.lit(r"(?s)<li\b[^>]*>(.*?)</li>"), F.lit(1))
-    parsed = F.transform(lines, lambda li: F.struct(
-        F.regexp_extract(li, r'<use\b[^>]*\bxlink:href="([^"]*)"', 1).alias("icon"),
-        _class_fragment(li, "span", "cart-company-lg__list-link").alias("span")))
+    title, lines_of = ("div", "cart-company-lg__title"), ("ul", "cart-company-lg__list")
+    found = F.col("_found")
+    name = H.inner_text(H.element(H.field(found, "card", *title), "a"))
+    lines = H.elements(H.field(found, "card", *lines_of), ("li", None))
+    kinds = ("pin", "phone", "email")
+
+    def line(li):
+        # an icon counts for its first matching kind
+        def with_icon(icon):
+            kind = F.coalesce(*(F.when(icon.contains(k), F.lit(k)) for k in kinds))
+            return F.struct(kind.alias("kind"), F.when(
+                kind.isNotNull(), H.element(li, "span", "cart-company-lg__list-link")).alias("span"))
+        return H.let(F.regexp_extract(li, r"""<use\b[^>]*\bxlink:href=["']([^"']*)["']""", 1), with_icon)
 
     def last_of(kind):
-        # later lines of a kind replace earlier ones; an icon counts for its first matching kind
-        def is_kind(x):
-            icon = x["icon"]
-            earlier = {"pin": (), "phone": ("pin",), "email": ("pin", "phone")}[kind]
-            return icon.contains(kind) & ~T.contains_any(icon, earlier) & (x["span"] != "")
-        return F.try_element_at(F.filter(F.col("_lines"), is_kind), F.lit(-1))["span"]
+        # later lines of a kind replace earlier ones
+        return F.try_element_at(
+            F.filter(F.col("_lines"), lambda x: (x["kind"] == kind) & (x["span"] != "")), F.lit(-1))["span"]
 
     def anchors(c):
-        return F.transform(F.regexp_extract_all(T.null_to_empty(c), F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), inner_text)
+        return F.transform(H.elements(c, ("a", None)), lambda a: H.inner_text(H.content_of(a)))
 
-    return cards.select(*keep, "card_pos", name.alias("name"), parsed.alias("_lines")).filter("name <> ''").select(
-        *keep, "card_pos", "name", inner_text(last_of("pin")).alias("address"),
+    cards = cards.withColumn("_found", H.elements("card", title, lines_of))
+    return cards.select(*keep, "card_pos", name.alias("name"), F.transform(lines, line).alias("_lines")).filter("name <> ''").select(
+        *keep, "card_pos", "name", H.inner_text(last_of("pin")).alias("address"),
         F.array_join(anchors(last_of("phone")), ", ").alias("phone"),
         T.null_to_empty(F.get(anchors(last_of("email")), F.lit(0))).alias("email"))
 
 
 def listing_totals(pages: DataFrame, estimate_from_pages: bool = True, keep=("url",)) -> DataFrame:
     """Number of companies and of pages a listing announces, with the usual fallbacks."""
-    info = F.regexp_extract(
-        inner_text(_class_fragment("html", "div", "search-result__info")), r"(\d+)", 1).try_cast("bigint")
-    links = F.regexp_extract_all(
-        _class_fragment("html", "div", "pagination"), F.lit(r"(?s)(<a\b[^>]*>.*?)</a>"), F.lit(1))
+    kinds = ("div", "search-result__info"), ("div", "pagination")
+    info = F.regexp_extract(H.inner_text(H.field(F.col("_found"), "html", *kinds[0])), r"(\d+)", 1).try_cast("bigint")
+    links = H.elements(H.field(F.col("_found"), "html", *kinds[1]), ("a", None))
 
     def number(link):
-        text = inner_text(link)
-        last = F.regexp_extract(link, r'href="[^"]*start_page=(\d+)', 1)
-        return F.when(text.rlike(r"^\d+$"), text.try_cast("bigint")).when(
-            F.lower(text).contains("остання"), last.try_cast("bigint"))
+        last = F.regexp_extract(link, r"""^[^>]*href=["'][^"'>]*start_page=(\d+)""", 1)
+        return H.let(H.inner_text(H.content_of(link)), lambda text: F.when(
+            text.rlike(r"^\d+$"), text.try_cast("bigint")).when(F.lower(text).contains("остання"), last.try_cast("bigint")))
 
-    pager = F.array_max(F.transform(links, number))
+    info_of, pager_of = info, F.array_max(F.transform(links, number))
+    info, pager = F.col("_info"), F.col("_pager")
     per_page = R.CARDS_PER_PAGE
     guess = pager * per_page if estimate_from_pages else F.lit(None).cast("bigint")
     derived = F.floor((info + per_page - 1) / per_page).cast("bigint")
-    return pages.select(
+    found = pages.withColumn("_found", H.elements("html", *kinds)).withColumns({"_info": info_of, "_pager": pager_of})
+    return found.select(
         *keep, F.coalesce(info, guess, F.lit(R.DEFAULT_TOTAL).cast("bigint")).alias("total_companies"),
         F.coalesce(pager, derived, F.lit(R.DEFAULT_PAGES).cast("bigint")).alias("total_pages"))
 
@@ -177,8 +115,8 @@ def detail_links(pages: DataFrame, pattern: str, base: str, keep=("url",)) -> Da
 # ------------------------------------------------------------------------------- detail pages
 def school_card(pages: DataFrame, source: str = "znayshov.com", keep=("url",)) -> DataFrame:
     """School page with contact cards; pages without a name give no row."""
-    short = T.clean_text(inner_text(_class_fragment("html", "h2", "text-center")))
-    full = T.clean_text(inner_text(_class_fragment("html", "h3", "text-center")))
+    kinds = ("h2", "text-center"), ("h3", "text-center")
+    short, full = (T.clean_text(H.inner_text(H.field(F.col("_found"), "html", *kind))) for kind in kinds)
     contacts = _class_section("html", "blue", "Контакти")
     place = _class_section("html", "gray", "Адреса")
     director = F.when(F.col("_card").contains("Директор"), F.substring_index("_card", "Директор", -1)).otherwise("")
@@ -186,7 +124,7 @@ def school_card(pages: DataFrame, source: str = "znayshov.com", keep=("url",)) -
         director = F.substring_index(director, stop, 1)
     address = T.clean_text(F.substring_index(F.replace("_place", F.lit("Адреса"), F.lit("")), "Гугл Карта", 1))
     return (
-        pages.select(*keep, short.alias("short_name"), full.alias("_full"), contacts.alias("_card"), place.alias("_place"))
+        pages.withColumn("_found", H.elements("html", *kinds)).select(*keep, short.alias("short_name"), full.alias("_full"), contacts.alias("_card"), place.alias("_place"))
         .withColumn("name", F.coalesce(T.empty_to_null("_full"), "short_name")).filter("name <> ''")
         .withColumn("address", address)
         .select(
@@ -200,19 +138,19 @@ def school_card(pages: DataFrame, source: str = "znayshov.com", keep=("url",)) -
 
 def school_page_obfuscated(pages: DataFrame, source: str = "osvita.ua", index_title: str = "Школи України", keep=("url",)) -> DataFrame:
     """School page whose address is hidden in URL-encoded script text."""
-    name = T.clean_text(inner_text(_class_fragment("html", "h1", "text-header-title")))
+    kinds = ("h1", "text-header-title"), ("div", "block-frame-2167")
+    name = T.clean_text(H.inner_text(H.field(F.col("_found"), "html", *kinds[0])))
     scripts = F.regexp_extract_all("html", F.lit(r"(?is)<script\b[^>]*>(.*?)</script\s*>"), F.lit(1))
     encoded = F.transform(F.filter(scripts, lambda s: s.contains("%")), T.percent_decode_email)
     emails = F.filter(encoded, lambda e: e != "")
-    block = F.regexp_extract(
-        "html", r'(?s)<div\b[^>]*\bclass="(?:[^"]*\s)?block-frame-2167(?:\s[^"]*)?"[^>]*>(.*)', 1)
-    spans = F.transform(
-        F.regexp_extract_all(block, F.lit(r'(?s)<span\b[^>]*\bclass="(?:[^"]*\s)?telefon(?:\s[^"]*)?"[^>]*>(.*?)</span>'), F.lit(1)),
-        lambda s: T.clean_text(inner_text(s)))
+    phones = H.elements(H.field(F.col("_found"), "html", *kinds[1]), ("span", "telefon"))
+    spans = F.col("_spans")
     address = T.null_to_empty(F.get(spans, F.lit(0)))
-    return pages.select(
-        F.lit(source).alias("source"), *keep, name.alias("name"), name.alias("short_name"),
-        T.null_to_empty(F.get(emails, F.lit(0))).alias("email"),
+    found = pages.withColumn("_found", H.elements("html", *kinds)).withColumns({
+        "_name": name, "_emails": emails, "_spans": F.transform(phones, lambda s: T.clean_text(H.inner_text(H.content_of(s))))})
+    return found.select(
+        F.lit(source).alias("source"), *keep, F.col("_name").alias("name"), F.col("_name").alias("short_name"),
+        T.null_to_empty(F.get("_emails", F.lit(0))).alias("email"),
         T.null_to_empty(F.get(spans, F.lit(1))).alias("phone"), F.lit("").alias("director"),
         T.city_from_address(address, strict_space=False).alias("city"), address.alias("address"),
     ).filter((F.col("name") != "") & ~F.col("name").contains(index_title))
@@ -223,14 +161,14 @@ def hei_page(pages: DataFrame, own_host: str = R.HEI_OWN_HOST, keywords=R.HEI_KE
     heading = F.coalesce(
         T.empty_to_null(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)),
         F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
-    title = T.strip(F.regexp_replace(inner_text(heading), f"(?U){R.HEI_TITLE_TAIL}", ""))
+    title = T.strip(F.regexp_replace(H.inner_text(heading), f"(?U){R.HEI_TITLE_TAIL}", ""))
     hidden = F.transform(
         F.regexp_extract_all("html", F.lit(r"""unescape\(['"]([^'"]+)['"]\)"""), F.lit(1)), T.percent_decode_email)
-    plain = F.when(F.col("html").contains("@"), F.regexp_extract("html", R.EMAIL_BASE, 0)).otherwise("")
+    plain = F.when(F.col("html").contains("@"), F.regexp_extract("html", f"(?<![a-zA-Z0-9._%+-]){R.EMAIL_BASE}", 0)).otherwise("")
     email = F.coalesce(F.get(F.filter(hidden, lambda e: e != ""), F.lit(0)), plain)
     site = F.regexp_extract("html", R.HEI_WEBSITE, 0)
     text = F.col("_text")
-    return pages.select(*keep, "html", page_text("html").alias("_text")).select(
+    return pages.select(*keep, "html", H.page_text("html").alias("_text")).select(
         *keep, title.alias("name"), email.alias("email"),
         T.strip(F.regexp_extract(text, f"(?U){R.PHONE_PAGE}", 0)).alias("phone"),
         F.when(site.contains(own_host), "").otherwise(site).alias("website"),
@@ -244,15 +182,15 @@ def page_summary_text(pages: DataFrame, max_chars: int | None = R.SUMMARY_LENGTH
     ``max_chars`` cuts the column for display; classifiers take it whole (None).
     """
     has_title = F.col("html").rlike(r"(?is)<title\b[^>]*>.*?</title")
-    title = joined_text(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
+    title = H.joined_text(F.regexp_extract("html", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
     meta_tags = F.filter(
         F.regexp_extract_all("html", F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0)),
         lambda m: m.rlike(r"""\bname\s*=\s*["']description["']"""))
     meta = F.regexp_extract(T.null_to_empty(F.get(meta_tags, F.lit(0))), r"""(?is)\bcontent\s*=\s*(["'])(.*?)\1""", 2)
     heads = F.transform(
-        F.regexp_extract_all("html", F.lit(r"(?is)<h[12]\b[^>]*>(.*?)</h[12]\s*>"), F.lit(1)), joined_text)
+        F.regexp_extract_all("html", F.lit(r"(?is)<h[12]\b[^>]*>(.*?)</h[12]\s*>"), F.lit(1)), H.joined_text)
     parts = F.concat(
         F.when(has_title, F.array(title)).otherwise(F.array().cast("array<string>")),
-        F.when(meta != "", F.array(unescape(meta))).otherwise(F.array().cast("array<string>")), heads)
+        F.when(meta != "", F.array(H.unescape(meta))).otherwise(F.array().cast("array<string>")), heads)
     whole = F.array_join(parts, " | ")
     return pages.select(*keep, (whole if max_chars is None else F.substring(whole, 1, max_chars)).alias("summary"))
