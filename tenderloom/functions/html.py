@@ -27,22 +27,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 # ------------------------------------------------------------------------------- character references
-#: All names of HTML as one text that Spark folds into a map, and the characters of the codes 128 to 159, which
-#: browsers read as Windows-1252.
-_NAMES = "\x01".join(f"&{name}\x02{char}" for name, char in sorted(html5.items()))
+#: All names of HTML, each followed by its characters: one text a first letter, from "A" to "z".
+_NAMES = tuple(
+    "".join(f"\x01&{name}\x02{char}" for name, char in sorted(html5.items()) if name[0] == chr(letter)) + "\x01" for letter in range(65, 123))
+#: The characters of the codes 128 to 159, which browsers read as Windows-1252.
 _CODES_128 = "".join(_html.unescape(f"&#{code};") for code in range(128, 160))
 
 
 def _reference(token: Column) -> Column:
     decimal = F.regexp_extract(token, r"^&#([0-9]{1,7});?$", 1)
     hexed = F.regexp_extract(token, r"^&#[xX]([0-9a-fA-F]{1,6});?$", 1)
-    code = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(decimal).try_cast("int")
-    wrong = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)  # codes of no character
-    char = F.when(wrong, F.lit("\ufffd")).when(code.between(128, 159), F.substring(F.lit(_CODES_128), code - 127, F.lit(1))).otherwise(
-        F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32"))
-    names = F.str_to_map(F.lit(_NAMES), F.lit("\x01"), F.lit("\x02"))
+
+    def char(code):
+        wrong = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)  # codes of no character
+        return F.when(wrong, F.lit("\ufffd")).when(code.between(128, 159), F.substring(F.lit(_CODES_128), code - 127, F.lit(1))).otherwise(
+            F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32"))
+
+    coded = let(F.coalesce(F.conv(F.nullif(hexed, F.lit("")), 16, 10), decimal).try_cast("int"), char)
+    names = F.get(F.split(F.lit("\x03".join(_NAMES)), "\x03"), F.ascii(F.substring(token, 2, 1)) - 65)
+    place = F.instr(names, F.concat(F.lit("\x01"), token, F.lit("\x02")))
+    named = let(place, lambda at: F.when(at > 0, F.substring_index(
+        F.substring(names, at + F.length(token) + 2, F.lit(8)), "\x01", 1)).otherwise(token))
     return F.when(~token.startswith("&") | (token == "&"), token).when(
-        token.startswith("&#"), F.coalesce(char, token)).otherwise(F.coalesce(F.try_element_at(names, token), token))
+        token.startswith("&#"), F.coalesce(coded, token)).otherwise(named)
 
 
 def unescape(c) -> Column:

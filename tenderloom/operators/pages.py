@@ -48,15 +48,9 @@ def one_page_per_key(pages: DataFrame, order, params: str | None = None) -> Data
 
 
 # ------------------------------------------------------------------------------- listings
-def listing_cards(pages: DataFrame, keep=("url",)) -> DataFrame:
-    """One row per company card of a listing page; nameless cards dropped."""
-    cards = pages.select(
-        *keep, F.posexplode(F.split("html", r'<div\b[^>]*\bclass="row p-3 p-md-4"[^>]*>')).alias("card_pos", "card")
-    ).filter("card_pos > 0")
-    title, lines_of = ("div", "cart-company-lg__title"), ("ul", "cart-company-lg__list")
-    found = F.col("_found")
-    name = H.inner_text(H.element(H.field(found, "card", *title), "a"))
-    lines = H.elements(H.field(found, "card", *lines_of), ("li", None))
+def _card(card: Column) -> Column:
+    """Name, address, phone and email of one company card."""
+    title, listed = ("div", "cart-company-lg__title"), ("ul", "cart-company-lg__list")
     kinds = ("pin", "phone", "email")
 
     def line(li):
@@ -67,19 +61,35 @@ def listing_cards(pages: DataFrame, keep=("url",)) -> DataFrame:
                 kind.isNotNull(), H.element(li, "span", "cart-company-lg__list-link")).alias("span"))
         return H.let(F.regexp_extract(li, r"""<use\b[^>]*\bxlink:href=["']([^"']*)["']""", 1), with_icon)
 
-    def last_of(kind):
-        # later lines of a kind replace earlier ones
-        return F.try_element_at(
-            F.filter(F.col("_lines"), lambda x: (x["kind"] == kind) & (x["span"] != "")), F.lit(-1))["span"]
-
     def anchors(c):
         return F.transform(H.elements(c, ("a", None)), lambda a: H.inner_text(H.content_of(a)))
 
-    cards = cards.withColumn("_found", H.elements("card", title, lines_of))
-    return cards.select(*keep, "card_pos", name.alias("name"), F.transform(lines, line).alias("_lines")).filter("name <> ''").select(
-        *keep, "card_pos", "name", H.inner_text(last_of("pin")).alias("address"),
-        F.array_join(anchors(last_of("phone")), ", ").alias("phone"),
-        T.null_to_empty(F.get(anchors(last_of("email")), F.lit(0))).alias("email"))
+    def fields(found):
+        lines = F.transform(H.elements(H.field(found, card, *listed), ("li", None)), line)
+
+        def of(lines):
+            # later lines of a kind replace earlier ones
+            def last_of(kind):
+                return F.try_element_at(F.filter(lines, lambda x: (x["kind"] == kind) & (x["span"] != "")), F.lit(-1))["span"]
+
+            pin, phone, email = map(last_of, kinds)
+            return F.struct(
+                H.inner_text(H.element(H.field(found, card, *title), "a")).alias("name"), H.inner_text(pin).alias("address"),
+                F.array_join(anchors(phone), ", ").alias("phone"), T.null_to_empty(F.get(anchors(email), F.lit(0))).alias("email"))
+        return H.let(lines, of)
+
+    return H.let(H.elements(card, title, listed), fields)
+
+
+def listing_cards(pages: DataFrame, keep=("url",)) -> DataFrame:
+    """One row per company card of a listing page; nameless cards dropped.
+
+    Cards are read before they become rows, so the filter on the name repeats no work.
+    """
+    cards = F.split("html", r"""<div\b[^>]*\bclass=["']row p-3 p-md-4["'][^>]*>""")
+    read = F.transform(cards, lambda card, at: F.when(at > 0, _card(card)))
+    return pages.select(*keep, F.posexplode(read).alias("card_pos", "card")).filter("card.name <> ''").select(
+        *keep, "card_pos", "card.name", "card.address", "card.phone", "card.email")
 
 
 def listing_totals(pages: DataFrame, estimate_from_pages: bool = True, keep=("url",)) -> DataFrame:

@@ -100,3 +100,26 @@ def test_school_card_text_ends_with_the_card(spark):
             '<div class="side">Телефон (0432) 12-34-56</div><div class="znv-card-gray"><div>Адреса</div> м.Вінниця, вул. 1</div><div>вул. 2</div>')
     r = G.school_card(pages(spark, html)).collect()[0]
     assert (r.name, r.email, r.phone, r.address) == ("Ліцей AB", "a@school.ua", "", "м.Вінниця, вул. 1")
+
+
+def test_character_references_are_those_of_html(spark):
+    import html
+    from tenderloom.functions import html as H
+    rows = [f"a &{name} b" for name in ("hellip;", "Ouml;", "copy", "NotEqualTilde;", "nosuch;", "amp;lt;", "zwnj;", "acE;")] + [
+        "&#0; &#x110000; &#55296; &#150; &#x41;&#66 & &; && x", "", "без посилань"]
+    got = spark.createDataFrame([(r,) for r in rows], "t string").select("t", H.unescape("t").alias("u")).collect()
+    assert [r.u for r in got] == [html.unescape(r.t) for r in got]
+
+
+def test_elements_of_any_depth_and_unclosed_ones(spark):
+    from tenderloom.functions import html as H
+    deep = "<div>" * 30 + "x" + "</div>" * 30
+    rows = {f"<p><div class='q a'>{deep}y</div>z": deep + "y", "<div class=\"a\"><div>x": "<div>x", '<div class="b">n</div>': "",
+            '<DIV><div class="a b">1<DIV >2</DIV>3</Div>4': "1<DIV >2</DIV>3", "": "", "<div class='a'></div><div class='a'>late</div>": "",
+            "<div class='a'>" + "<div>i</div>" * 5000 + "</div>out": "<div>i</div>" * 5000, "<div class='a'>" * 3000: "<div class='a'>" * 2999}
+    df = spark.createDataFrame([(r,) for r in rows], "t string").withColumn("found", H.elements("t", ("div", "a"), ("p", None)))
+    for r in df.select("t", H.element("t", "div", "a").alias("one"), H.field(df["found"], "t", "div", "a").alias("streamed")).collect():
+        assert (r.one, r.streamed) == (rows[r.t], rows[r.t])
+    nested = spark.createDataFrame([("<p>a<span class='t'>1<span class=\"t\">2</span></span>",)], "t string")
+    assert nested.select(H.elements("t", ("span", "t"), ("p", None)).alias("e")).first().e == [
+        "p>a<span class='t'>1<span class=\"t\">2</span></span>", "span class='t'>1<span class=\"t\">2</span>", 'span class="t">2']
