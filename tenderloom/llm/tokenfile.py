@@ -177,11 +177,17 @@ class TokenFileReader:
             pieces.append(ids[at:])
 
 
+def arrow_uri(path: str) -> str:
+    """The path with Hadoop's names of S3 as pyarrow knows them; other schemes and plain paths stay."""
+    scheme, sep, rest = path.partition("://")
+    return f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else path
+
+
 def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, keeps_space: bool = True, id_col: str = "doc_id",
                  text_col: str = "text", folder: str | None = None) -> DataFrame:
     """Writes the documents' ids as token files and returns their list: part, path, size, documents, ids.
 
-    Files are in ascending order of id (null ids first; equal ids in any order). Null texts are empty and hold
+    Files are in ascending order of id (null ids first; equal ids in order of a hash of their texts, so reruns agree). Null texts are empty and hold
     the end id only. Other columns are ignored. An empty table gives an empty list.
     """
     spark = docs.sparkSession
@@ -196,7 +202,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, keeps_space:
         writer = sink = None
         for batch in batches:
             if writer is None and len(batch):
-                system, root = fs.FileSystem.from_uri(folder)
+                system, root = fs.FileSystem.from_uri(arrow_uri(folder))
                 system.create_dir(root, recursive=True)
                 part = TaskContext.get().partitionId()
                 name = f"part-{part:06d}-{uuid.uuid4().hex}.pfor"
@@ -214,7 +220,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int = 2, keeps_space:
 
     id_ = F.col(id_col).cast("long")
     rows = docs.select(id_.alias("raw"), F.coalesce(id_, F.lit(0)).alias("doc_id"), id_.isNull().alias("missing"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("raw").sortWithinPartitions("raw").select("doc_id", "missing", "text")
+    rows = rows.withColumn("digest", F.xxhash64("text"))  # orders equal ids and lets them lie in several ranges
+    rows = rows.repartitionByRange("raw", "digest").sortWithinPartitions("raw", "digest").select("doc_id", "missing", "text")
     return stored(rows.mapInPandas(write, "part int, path string, bytes long, n_docs long, n_ids long"), "token-files")
 
 
@@ -227,7 +234,7 @@ def read_digests(files: DataFrame) -> DataFrame:
 
         for batch in batches:
             for path, size, before in zip(batch["path"], batch["bytes"], batch["before"]):
-                system, name = fs.FileSystem.from_uri(path)
+                system, name = fs.FileSystem.from_uri(arrow_uri(path))
                 with system.open_input_file(name) as source:
                     found = []
                     for doc_id, start, n, pieces in TokenFileReader(source, int(size)).documents():

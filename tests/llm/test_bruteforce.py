@@ -541,6 +541,22 @@ def encoded(name, text):
     return np.array(Tokenizer.from_file(vocabulary(name)).encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
 
+def test_op7_equal_ids_have_one_order(spark):
+    from pyspark.sql import functions as F
+    rows = [(i % 3 or None, f"text number {i}") for i in range(90)] + [(1, None), (1, ""), (1, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    for given in (docs.repartition(2), docs.orderBy(F.desc("text")), docs.coalesce(1)):
+        files = tokenfile.write_tokens(given, vocabulary(BYTE_VOCABULARY))
+        seen.append([tuple(r) for r in tokenfile.read_digests(files).orderBy("start").collect()])
+    assert len(seen[0]) == 93 and seen[0] == seen[1] == seen[2]
+
+
+def test_op7_paths_of_s3():
+    assert tokenfile.arrow_uri("s3a://bucket/a b/x") == tokenfile.arrow_uri("s3n://bucket/a b/x") == "s3://bucket/a b/x"
+    assert [tokenfile.arrow_uri(p) for p in ("/tmp/s3a://x", "file:///x", "hdfs://n/x")] == ["/tmp/s3a://x", "file:///x", "hdfs://n/x"]
+
+
 def test_op7_round_trip(spark, texts):
     rows = QUERIES["op7_token_files"](spark, SF).orderBy("doc_id").collect()
     tokenizer, at = Tokenizer.from_file(vocabulary(BYTE_VOCABULARY)), 0
