@@ -287,10 +287,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Views that turn every narrow row of a table into a document or page of some kilobytes, and that table.
+WIDE = {"tender_base": "orders"}
+#: Rows that one task turns into documents or pages.
+SPREAD_ROWS = 20_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over tasks of about ``SPREAD_ROWS``: a row group is read by one task, and of narrow rows it may hold a million."""
+    return df.repartition(max(1, -(-df.count() // SPREAD_ROWS)))
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame; only the tables it names are opened."""
     text = VIEWS[name]
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if name in WIDE:
+        used[WIDE[name]] = spread(used[WIDE[name]])
     return spark.sql(text, **used)
 
 
@@ -326,8 +339,9 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     if key not in _STORED or not exists(spark, _STORED[key]):
         path = scratch_dir(spark, name)
         with small_methods(spark):
-            # row groups small enough to be read by several tasks, however few files there are
-            build(spark, sf_dir).write.option("parquet.block.size", 16 << 20).parquet(path)
+            # row groups small enough to be read by several tasks, however few files there are; dictionaries of mostly
+            # distinct values double the time of writing and save little
+            build(spark, sf_dir).write.options(**{"parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false"}).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 
