@@ -288,7 +288,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 #: Views that turn every narrow row of a table into a document or page of some kilobytes, and that table.
-WIDE = {"tender_base": "orders"}
+WIDE = {"tender_base": "orders", "card_pages": "customer", "school_pages": "customer"}
 #: Rows that one task turns into documents or pages.
 SPREAD_ROWS = 20_000
 
