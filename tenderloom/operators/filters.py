@@ -47,8 +47,8 @@ def _goods_text() -> Column:
     return F.array_join(F.concat(F.array(T.null_to_empty("title")), parts), " ")
 
 
-def tender_target(tenders: DataFrame, keywords=R.FEED_KEYWORDS, prefixes=R.FEED_CODE_PREFIXES) -> DataFrame:
-    """Keyword in title, description or an item, or an item with one of the code prefixes."""
+def target_ok(keywords=R.FEED_KEYWORDS, prefixes=R.FEED_CODE_PREFIXES) -> Column:
+    """Whether a tender document has a keyword in title, description or an item, or an item with one of the code prefixes."""
     text = F.lower(F.concat(T.null_to_empty("title"), F.lit(" "), T.null_to_empty("description")))
 
     def item_hit(i):
@@ -56,7 +56,11 @@ def tender_target(tenders: DataFrame, keywords=R.FEED_KEYWORDS, prefixes=R.FEED_
         return T.contains_any(F.lower(T.null_to_empty(i["description"])), keywords) | code.rlike(
             f"^({'|'.join(prefixes)})")
 
-    return tenders.filter(T.contains_any(text, keywords) | F.exists(_items(), item_hit))
+    return T.contains_any(text, keywords) | F.exists(_items(), item_hit)
+
+
+def tender_target(tenders: DataFrame, keywords=R.FEED_KEYWORDS, prefixes=R.FEED_CODE_PREFIXES) -> DataFrame:
+    return tenders.filter(target_ok(keywords, prefixes))
 
 
 def profile_ok(rules: R.TenderRules) -> Column:

@@ -9,30 +9,43 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import rules as R
 from ..functions.priority import has
-from ..operators.filters import tender_target
+from ..operators.filters import target_ok
 from ..sources import schemas as S
 from ..sources import upsertlog
 
 
+def fresh_matches(feed: DataFrame, keywords=R.FEED_KEYWORDS, prefixes=R.FEED_CODE_PREFIXES,
+                  event_time: str | None = None, lateness: str | None = None) -> DataFrame:
+    """The documents of ``feed`` that are new by id and match the selection.
+
+    Of a document that does not match only the id travels: it still makes later ones of that id old.
+    """
+    if event_time and lateness:
+        feed = feed.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    timed = [event_time] if event_time and lateness else []
+    keyed = feed.filter(has("id")).select(
+        "id", *timed, F.when(target_ok(keywords, prefixes), F.struct(*feed.columns)).alias("_doc"))
+    if timed:
+        fresh = keyed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(["id"])
+    else:
+        fresh = keyed.dropDuplicates(["id"])
+    return fresh.filter("_doc is not null").select("_doc.*")
+
+
 def stream_new_matches(
     spark: SparkSession, src: str, dst: str, checkpoint: str, keywords=R.FEED_KEYWORDS,
     prefixes=R.FEED_CODE_PREFIXES, schema: str = S.TENDER, max_files: int = 100,
-    event_time: str | None = None, lateness: str | None = None,
+    event_time: str | None = None, lateness: str | None = None, compression: str = "gzip",
 ) -> StreamingQuery:
     """Appends the tenders of a growing feed that are new by id and match the selection.
 
     The checkpoint is the resumable cursor. Ids are remembered for ever, as the feed needs; with
     ``event_time`` and ``lateness`` only as long as the watermark allows, which bounds the state.
     """
-    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(src).filter(has("id"))
-    if event_time and lateness:
-        fresh = feed.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(
-            event_time, lateness).dropDuplicatesWithinWatermark(["id"])
-    else:
-        fresh = feed.dropDuplicates(["id"])
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(src)
     return (
-        tender_target(fresh, keywords, prefixes).writeStream.format("json").option("path", dst)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        fresh_matches(feed, keywords, prefixes, event_time, lateness).writeStream.format("json").option("path", dst)
+        .option("compression", compression).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderloom.session import scratch_dir, stored
-from tenderloom.sources import scan, schemas, sink, upsertlog
+from tenderloom.sources import bindings, scan, schemas, sink, upsertlog
 from tenderloom.streaming import feeds
 
 
@@ -92,6 +92,36 @@ def test_feed_skips_seen_ids_and_resumes(spark, tmp_path):
     assert spark.read.schema(schemas.TENDER).json(dst).count() == 2
 
 
+def test_feed_writes_compressed_matches_and_remembers_other_ids(spark, tmp_path):
+    src, dst, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    write(tmp_path / "in", "1.json", TENDER % ("a", "Атлас") + TENDER % ("b", "Цемент"))
+    feeds.stream_new_matches(spark, src, dst, cp).awaitTermination()
+    write(tmp_path / "in", "2.json", TENDER % ("b", "Глобус"))  # old, though its first find did not match
+    feeds.stream_new_matches(spark, src, dst, cp).awaitTermination()
+    assert [(r.id, r.title) for r in spark.read.schema(schemas.TENDER).json(dst).collect()] == [("a", "Атлас")]
+    assert all(f.name.endswith(".json.gz") for f in (tmp_path / "out").glob("part-*"))
+
+
+@pytest.mark.parametrize("name, folder", [("stream_new_matches", "feed-in"), ("scan_tender_json", "tenders-json")])
+def test_json_documents_are_stored_compressed(spark, tmp_path, monkeypatch, name, folder):
+    from tenderloom.catalog import QUERIES, io_queries
+
+    monkeypatch.setattr(io_queries, "scratch_dir", lambda _, part: str(tmp_path / f"{part}-0"))
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    files = list(tmp_path.glob(f"{folder}-*/part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
+
+
+@pytest.mark.parametrize("name, stem", [("orders", "tender_base"), ("customer", "card_pages"), ("customer", "school_pages")])
+def test_wide_rows_are_built_by_many_tasks(spark, tmp_path, name, stem):
+    rows = spark.range(50_000).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "1.5D AS o_totalprice", "timestamp'2024-01-01' AS o_orderdate",
+        "id AS c_custkey", "'n' AS c_name", "'m' AS c_mktsegment").coalesce(1)
+    rows.write.parquet(str(tmp_path / f"{name}.parquet"))  # one file, one row group
+    wide = bindings.view(spark, str(tmp_path), stem)
+    assert wide.rdd.getNumPartitions() == 3 and wide.count() == 50_000
+
+
 def test_feed_with_bounded_state(spark, tmp_path):
     src, dst, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
     line = '{"id": "%s", "title": "Атлас", "seen": "2024-01-01 00:00:0%d"}\n'
