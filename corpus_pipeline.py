@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenderloom.llm import mixing, packing, pii, quality, similar
+from tenderloom.llm import mixing, packing, pii, quality, simhash, similar
 from tenderloom.llm.common import table
 from tenderloom.llm.queries import WORD_VOCABULARY, vocabulary
 from tenderloom.session import stored
@@ -19,7 +19,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar.keep_first(docs)
+    """SimHash as in ``op6_simhash`` links documents; MinHash adds the near copies that two bits do not reach."""
+    return similar.keep_first(docs, linked=simhash.components)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

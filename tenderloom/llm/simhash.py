@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .common import text_digest
 from .components import connected_components
 
 SEED = 42
@@ -107,6 +108,15 @@ def links(prints: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     return pairs.distinct()
 
 
+def _rooted(prints: DataFrame, bits: int, crowd: int) -> DataFrame:
+    """``fp``, ``rep`` (its smallest document) and ``root`` (the smallest fingerprint of its component) of every fingerprint."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
+    # nodes are fingerprints; the smallest document of a component is found afterwards
+    parts = connected_components(links(distinct.select("fp"), bits, crowd))
+    return stored(distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("root")), "roots")
+
+
 def near_duplicates(docs: DataFrame, bits: int = 2, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -115,18 +125,20 @@ def near_duplicates(docs: DataFrame, bits: int = 2, id_col: str = "doc_id", text
     part in the smallest (a component of null ids only has a null id). An empty table gives no rows.
     """
     prints = stored(with_fingerprint(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "fp"), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    pairs = links(distinct.select("fp"), bits, crowd)
-    # nodes are fingerprints; the smallest document of a component is found afterwards
-    parts = connected_components(pairs)
-    joined = stored(distinct.join(parts, distinct["fp"] == parts["node"], "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("root")), "roots")
+    joined = _rooted(prints, bits, crowd)
     lowest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = joined.join(lowest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def components(docs: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
+    """``doc_id``, ``digest`` of its text and ``root`` of the component for every row, as ``similar.components`` gives them."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest("text").alias("digest"), "text")
+    prints = stored(with_fingerprint(rows).select("doc_id", "digest", "fp"), "fingerprints")
+    return prints.join(_rooted(prints, bits, crowd).select("fp", "root"), "fp").select("doc_id", "digest", "root")
+
+
 def keep_first(docs: DataFrame, bits: int = 2) -> DataFrame:
     """One document of every component stays: the one with its smallest id. Of rows equal in id one stays.
 

@@ -15,7 +15,7 @@ only as far as its members are no near copies of one another; its rows do not.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .common import first_of_components, text_digest
-from .components import connected_components
+from .components import connected_components, merged_components
 
 SEED, SHINGLE, SIMILARITY = 42, 5, 0.8
 MINIMA, BANDS, ROWS = 160, 64, 9
@@ -231,10 +231,12 @@ def components(docs: DataFrame) -> DataFrame:
     return sketches.join(roots, "content").select("doc_id", "digest", "root")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
+def keep_first(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row of every component stays: the first by id, then by the digest of its text, then by the other columns.
 
+    ``linked`` gives the components of another method (``doc_id``, ``digest``, ``root``), whose links count as well.
     Documents without an id cannot be told apart and all stay.
     """
     known = docs.filter(F.col("doc_id").isNotNull())
-    return first_of_components(known, components(known)).union(docs.filter(F.col("doc_id").isNull()))
+    parts = components(known)
+    return first_of_components(known, merged_components(parts, linked(known)) if linked else parts).union(docs.filter(F.col("doc_id").isNull()))
