@@ -19,7 +19,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash as in ``op6_simhash`` links documents; MinHash adds the near copies that two bits do not reach."""
+    """Documents linked by SimHash as in ``op6_simhash`` or sharing a MinHash bucket, verified by exact similarity."""
     return similar.keep_first(docs, linked=simhash.components)
 
 

@@ -43,15 +43,3 @@ def connected_components(links: DataFrame, rounds: int = 100) -> DataFrame:
     else:
         raise RuntimeError(f"components still change after {rounds} rounds")
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-
-
-def merged_components(parts: DataFrame, others: DataFrame) -> DataFrame:
-    """The rows of ``parts`` with components that follow the links of both tables.
-
-    Both: ``doc_id``, ``digest``, ``root``. Components of ``parts`` that share one of ``others`` become one, the smallest root.
-    """
-    met = parts.join(others.select("doc_id", "digest", F.col("root").alias("other")).distinct(), ["doc_id", "digest"]).select("other", "root").distinct()
-    met = stored(met, "met")
-    lowest = met.groupBy("other").agg(F.min("root").alias("least"))
-    moved = connected_components(met.join(lowest, "other").select("root", "least"))
-    return parts.join(moved, parts["root"] == moved["node"], "left").select("doc_id", "digest", F.coalesce("component", "root").alias("root"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .common import first_of_components, text_digest
-from .components import connected_components, merged_components
+from .components import connected_components
 
 SEED, SHINGLE, SIMILARITY = 42, 5, 0.8
 MINIMA, BANDS, ROWS = 160, 64, 9
@@ -195,16 +195,20 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(joined.filter(passes("text_a", "text_b")).select("a", "b"), "similar")
 
 
-def components(docs: DataFrame) -> DataFrame:
+def components(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``doc_id``, ``digest`` (of the text) and ``root`` for every row; rows of one component share the root.
 
     Rows are linked when the sets of their texts have a similarity of 0.8 or more; texts without words are copies.
+    ``linked`` gives the components of another method (``doc_id``, ``digest``, ``root``); each is one more bucket, verified like the others.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = stored(_sketches(docs), "sketches")
     nodes = sketches.groupBy("content").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = nodes.select("node", "n", F.explode("bands").alias("key"))
+    if linked:
+        buckets = sketches.join(linked(docs), ["doc_id", "digest"]).select("content", F.col("root").alias("key")).distinct()
+        keys = keys.union(nodes.join(buckets, "content").select("node", "n", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     met = stored(keys.join(shared, "key"), "met")
     # the original of a family shares more buckets than its copies and is most often near all of them
@@ -234,9 +238,7 @@ def components(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """One row of every component stays: the first by id, then by the digest of its text, then by the other columns.
 
-    ``linked`` gives the components of another method (``doc_id``, ``digest``, ``root``), whose links count as well.
-    Documents without an id cannot be told apart and all stay.
+    ``linked``: see :func:`components`. Documents without an id cannot be told apart and all stay.
     """
     known = docs.filter(F.col("doc_id").isNotNull())
-    parts = components(known)
-    return first_of_components(known, merged_components(parts, linked(known)) if linked else parts).union(docs.filter(F.col("doc_id").isNull()))
+    return first_of_components(known, components(known, linked)).union(docs.filter(F.col("doc_id").isNull()))
