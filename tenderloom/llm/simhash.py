@@ -92,7 +92,8 @@ def links(prints: DataFrame, bits: int = 2, crowd: int = CROWD) -> DataFrame:
     a, b = calm.select("key", F.col("fp").alias("a")), calm.select("key", F.col("fp").alias("b"))
     # equal segments meet under all 32 variants; the pair is taken under the first only
     differ = F.expr("(a ^ b) & if(key >> 37 = 0, 4294967295L, ~4294967295L)")
-    pairs = a.join(b, "key").filter(
+    # a join sizes an exploded side as if it had the rows from before, so it would send 64 rows a fingerprint to the driver
+    pairs = a.join(b.hint("merge"), "key").filter(
         (F.col("a") < F.col("b")) & (F.bit_count(F.expr("a ^ b")) <= bits) & ((differ != 0) | (F.expr("(key >> 32) & 31") == 0)))
     pairs = pairs.select("a", "b")
     if not crowded_keys.isEmpty():

@@ -472,6 +472,17 @@ def test_simhash_links_join_all_components(spark, bits, crowd):
     assert {ids[v]: ids[part.get(v, v)] for v in ids} == want
 
 
+def test_simhash_variants_are_not_sent_to_the_driver(spark):
+    """Spark sizes 64 variants of a fingerprint like one row, so a small enough table would be broadcast 64 times as large."""
+    prints = spark.range(300).select(F.expr("xxhash64(id div 3) ^ shiftleft(1L, cast(id % 3 as int) * 20)").alias("fp"))
+    pairs = simhash.links(prints)
+    rows = {(r["a"], r["b"]) for r in pairs.collect()}
+    fps = [r["fp"] for r in prints.collect()]
+    assert rows == {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2} and len(rows) == 300
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [key" in plan and not re.search(r"BroadcastHashJoin \[key\S+, \[key\S+, Inner", plan)
+
+
 def test_simhash_of_odd_rows(odd, none):
     rows = simhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
