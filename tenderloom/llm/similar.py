@@ -210,11 +210,13 @@ def components(docs: DataFrame, linked: Callable[[DataFrame], DataFrame] | None
         buckets = sketches.join(linked(docs), ["doc_id", "digest"]).select("content", F.col("root").alias("key")).distinct()
         keys = keys.union(nodes.join(buckets, "content").select("node", "n", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
-    met = stored(keys.join(shared, "key"), "met")
-    # the original of a family shares more buckets than its copies and is most often near all of them
+    # a join sizes an exploded side as if it had the rows from before, so it would send all keys of a node to the driver
+    met = stored(keys.join(shared.hint("merge"), "key"), "met")
+    # the original of a family shares more buckets than its copies and is most often near all of them; each row has its match,
+    # the joins are left ones so that only the sums can be broadcast: their size is measured, that of ``met`` is its file's
     degree = met.groupBy("node").agg(F.sum("members").alias("degree"))
-    centres = met.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node", "n")).alias("centre"))
-    members = stored(met.join(centres, "key"), "members")
+    centres = met.join(degree, "node", "left").groupBy("key").agg(F.max(F.struct("degree", "node", "n")).alias("centre"))
+    members = stored(met.join(centres, "key", "left"), "members")
 
     def near(a: str, b: str):  # sets of too different a size cannot pass
         return F.least(a, b) >= F.greatest(a, b) * (SIMILARITY - 1e-9)

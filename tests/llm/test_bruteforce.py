@@ -559,6 +559,28 @@ def test_stage_follows_simhash_links(spark, monkeypatch):
     assert Counter(r["doc_id"] for r in out.collect()) == {1: 2, 3: 1}
 
 
+@pytest.mark.parametrize("linked", [True, False])
+def test_stage_sends_no_buckets_to_the_driver(spark, monkeypatch, linked):
+    """Neither the 64 variants of a fingerprint, the 64 keys of a text nor the rows of all buckets may be the broadcast side."""
+    plans, write, link = {}, similar.stored, simhash.connected_components
+
+    def plan(name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    monkeypatch.setattr(similar, "stored", lambda df, name="stored": write(plan(name, df), name))
+    monkeypatch.setattr(simhash, "connected_components", lambda links: link(plan("variants", links)))
+    base = [f"w{x}" for x in np.random.default_rng(5).integers(0, 10 ** 6, 200)]
+    rows = [(n, " ".join([*base[n // 3:], "end"][:150 + n % 3])) for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in similar.keep_first(docs, simhash.components if linked else None).collect()}
+    parts = similar_components([t for _, t in rows])
+    assert kept == {n for n in range(60) if parts[n] == n}
+    for name in ("met", *["variants"] * linked):
+        assert "SortMergeJoin [key" in plans[name] and not re.search(r"BroadcastHashJoin \[key\S+, \[key\S+, Inner", plans[name])
+    assert "LeftOuter" in plans["members"] and "BuildLeft" not in plans["members"]
+
+
 def encoded(name, text):
     return np.array(Tokenizer.from_file(vocabulary(name)).encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
